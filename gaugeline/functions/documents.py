@@ -13,6 +13,8 @@ _PAYLOAD = (
     "id STRING, timestamp STRING, time STRING, temperature STRING, humidity STRING, broken_text STRING"
 )
 
+NUMBERS = ["BIGINT", "DECIMAL", "DOUBLE", "FLOAT"]
+
 
 def payload_fields(payload: Column) -> Column:
     """The addressed payload members as text, from one pass over the document.
@@ -28,41 +30,32 @@ def is_json(payload: Column, broken_text: Column) -> Column:
     An object was already read by :func:`payload_fields`; only the rest is
     looked at again, so the common case costs nothing.
     """
-    return payload.isNotNull() & (
-        (broken_text.isNull() & (F.trim(payload) != ""))
-        | F.get_json_object(payload, "$").isNotNull()
-    )
+    read = broken_text.isNull() & (F.trim(payload) != "")
+    return payload.isNotNull() & (read | F.get_json_object(payload, "$").isNotNull())
+
+
+def as_map(value: Column, path: str = "$") -> Column:
+    """The members of a variant object, null for any other value."""
+    return F.try_variant_get(value, path, "map<string,variant>")
+
+
+def as_list(value: Column) -> Column:
+    """The elements of a variant array, null for any other value."""
+    return F.try_variant_get(value, "$", "array<variant>")
 
 
 def members(document: Column) -> Column:
-    """Object members as ``map<string, variant>``; null for anything else."""
-    value = F.try_parse_json(document)
-    return F.when(
-        F.schema_of_variant(value).startswith("OBJECT"),
-        F.try_variant_get(value, "$", "map<string,variant>"),
-    )
+    """The members of a JSON object in a text column."""
+    return as_map(F.try_parse_json(document))
 
 
 def kind(value: Column) -> Column:
-    """JSON kind of a variant: bool, number, text, array, object or null."""
-    name = F.schema_of_variant(value)
-    return (
-        F.when(name == "BOOLEAN", "bool")
-        .when(
-            name.isin("BIGINT", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT")
-            | name.startswith("DECIMAL"),
-            "number",
-        )
-        .when(name == "STRING", "text")
-        .when(name.startswith("ARRAY"), "array")
-        .when(name.startswith("OBJECT"), "object")
-        .otherwise("null")
-    )
+    """Base type of a variant: BOOLEAN, one of NUMBERS, STRING, ARRAY, OBJECT or VOID."""
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
 
 
-def number(value: Column) -> Column:
+def number(value: Column, value_kind: Column) -> Column:
     """Variant to double; booleans count as 1 and 0, text does not count."""
-    shape = kind(value)
-    return F.when(shape == "number", F.try_variant_get(value, "$", "double")).when(
-        shape == "bool", F.try_variant_get(value, "$", "boolean").cast("double")
+    return F.when(value_kind.isin(NUMBERS), F.try_variant_get(value, "$", "double")).when(
+        value_kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("double")
     )

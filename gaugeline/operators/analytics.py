@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline import schema
-from gaugeline.functions.documents import kind, members, number
+from gaugeline.functions.documents import NUMBERS, as_map, kind, members, number
 from gaugeline.functions.numbers import stable_round
+from gaugeline.functions.staging import staged
 from gaugeline.operators.ranking import top_per_key
 
 # Wording of the insight sentences.
@@ -30,26 +31,27 @@ def recent_slice(records: DataFrame, size: int = schema.SLICE_SIZE) -> DataFrame
 
 def infer_schema(documents: DataFrame, column: str = "document") -> DataFrame:
     """Field names and types of each document; a list is judged by its first element."""
-    value = F.try_parse_json(F.col(column))
-    first = F.get(F.try_variant_get(value, "$", "array<variant>"), F.lit(0))
-    sample = F.when(kind(value) == "array", first).otherwise(value)
-    fields = F.when(kind(sample) == "object", F.try_variant_get(sample, "$", "map<string,variant>"))
-    rows = documents.select(*documents.columns, F.explode(fields).alias("field", "_value"))
-    text = F.try_variant_get("_value", "$", "string")
+    rows = staged(documents, _document=F.try_parse_json(column))
+    document = F.col("_document")
+    fields = F.coalesce(as_map(document), as_map(document, "$[0]"))
+    rows = rows.select(*documents.columns, F.explode(fields).alias("field", "_value"))
+    rows = staged(rows, _kind=kind(F.col("_value")))
+    text = F.when(F.col("_kind") == "STRING", F.try_variant_get("_value", "$", "string"))
+    rows = staged(rows, _text=text)
+    text = F.col("_text")
     looks_like_time = (text.contains("T") & text.contains("Z")) | (
         text.contains("-") & text.contains(":")
     )
-    shape = kind(F.col("_value"))
     field_type = (
-        F.when(shape == "bool", "boolean")
-        .when(shape == "number", "numeric")
-        .when((shape == "text") & looks_like_time, "datetime")
+        F.when(F.col("_kind") == "BOOLEAN", "boolean")
+        .when(F.col("_kind").isin(NUMBERS), "numeric")
+        .when(looks_like_time, "datetime")
         .otherwise("string")
     )
-    return rows.withColumn("field_type", field_type).drop("_value")
+    return rows.select(*documents.columns, "field", field_type.alias("field_type"))
 
 
-def field_role(name: Column, value: Column, exact_id: bool = False) -> Column:
+def field_role(name: Column, value_kind: Column, exact_id: bool = False) -> Column:
     """identifier, metric or dimension.
 
     Any name containing "id" is an identifier, even ``humidity``; ``exact_id``
@@ -59,7 +61,7 @@ def field_role(name: Column, value: Column, exact_id: bool = False) -> Column:
     is_id = (lowered == "id") | lowered.endswith("_id") if exact_id else lowered.contains("id")
     return (
         F.when(is_id, "identifier")
-        .when(kind(value) == "number", "metric")
+        .when(value_kind.isin(NUMBERS), "metric")
         .otherwise("dimension")
     )
 
@@ -68,7 +70,8 @@ def classify_fields(recent: DataFrame, exact_id: bool = False) -> DataFrame:
     """Role of each field in the newest payload of each source."""
     newest = recent.filter(F.col("rank") == 1)
     fields = newest.select("source", F.explode(members(F.col("payload"))).alias("field", "value"))
-    return fields.select("source", "field", field_role(F.col("field"), F.col("value"), exact_id).alias("role"))
+    role = field_role(F.col("field"), kind(F.col("value")), exact_id)
+    return fields.select("source", "field", role.alias("role"))
 
 
 def metric_values(recent: DataFrame, exact_id: bool = False) -> DataFrame:
@@ -84,14 +87,15 @@ def metric_values(recent: DataFrame, exact_id: bool = False) -> DataFrame:
         "seq",
         F.explode_outer(members(F.col("payload"))).alias("field", "value"),
     )
+    entries = staged(entries, kind=kind(F.col("value")))
     newest_is_metric = (F.col("rank") == 1) & (
-        field_role(F.col("field"), F.col("value"), exact_id) == "metric"
+        field_role(F.col("field"), F.col("kind"), exact_id) == "metric"
     )
     entries = entries.select(
         "source",
         "field",
         F.coalesce(newest_is_metric, F.lit(False)).alias("newest_is_metric"),
-        F.struct("seq", number(F.col("value")).alias("value")).alias("point"),
+        F.struct("seq", number(F.col("value"), F.col("kind")).alias("value")).alias("point"),
     )
     points = F.collect_list(F.when(F.col("point.value").isNotNull(), F.col("point")))
     grouped = entries.groupBy("source", "field").agg(
@@ -122,9 +126,7 @@ def iqr_anomalies(metrics: DataFrame) -> DataFrame:
     ordered, count = F.sort_array("values"), F.size("values")
     low = F.get(ordered, F.floor(count / 4).cast("int"))
     high = F.get(ordered, F.floor(count * 3 / 4).cast("int"))
-    quartiles = metrics.select(
-        "*", F.inline(F.array(F.struct(low.alias("_low"), high.alias("_high"))))
-    )
+    quartiles = staged(metrics, _low=low, _high=high)
     reach = (F.col("_high") - F.col("_low")) * schema.IQR_FACTOR
     fences = quartiles.withColumns(
         {"_low": F.col("_low") - reach, "_high": F.col("_high") + reach}
@@ -156,8 +158,7 @@ def trend_direction(change: Column) -> Column:
 
 def summarize_metrics(values: DataFrame) -> DataFrame:
     """Add summary columns to ``metric_values`` rows."""
-    change = half_change(F.col("values")).alias("_change")
-    measured = iqr_anomalies(values).select("*", F.inline(F.array(F.struct(change))))
+    measured = staged(iqr_anomalies(values), _change=half_change(F.col("values")))
     return measured.select(
         "source",
         "field",

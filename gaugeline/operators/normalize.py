@@ -3,32 +3,26 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.documents import kind
+from gaugeline.functions.documents import as_list, as_map, kind
+from gaugeline.functions.staging import staged
 
 TOPIC_PREFIX = "telemetry.raw"
 
 
-def _as_map(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>")
-
-
-def _as_list(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>")
-
-
-def _of_kind(object_map: Column, *kinds: str) -> Column:
-    return F.map_filter(object_map, lambda _, value: kind(value).isin(*kinds))
-
-
 def _lists(object_map: Column) -> Column:
-    """The list-valued members as ``map<string, array<variant>>``."""
-    return F.transform_values(_of_kind(object_map, "array"), lambda _, value: _as_list(value))
+    """The list-valued members as ``array<struct<key, items>>``."""
+    lists = F.transform(
+        F.map_entries(object_map),
+        lambda member: F.struct(member["key"].alias("key"), as_list(member["value"]).alias("items")),
+    )
+    return F.filter(lists, lambda member: member["items"].isNotNull())
 
 
-def _rows_of(lists: Column) -> Column:
+def _row_count(lists: Column) -> Column:
     """Common length of the lists, 0 if there are none or the lengths differ."""
-    lengths = F.array_distinct(F.transform(F.map_values(lists), lambda items: F.size(items)))
-    return F.when(F.size(lengths) == 1, F.get(lengths, F.lit(0))).otherwise(0)
+    lengths = F.transform(lists["items"], lambda items: F.size(items))
+    shortest = F.array_min(lengths)
+    return F.when(shortest == F.array_max(lengths), shortest).otherwise(0)
 
 
 def normalize_payload(documents: DataFrame, column: str = "document") -> DataFrame:
@@ -42,45 +36,59 @@ def normalize_payload(documents: DataFrame, column: str = "document") -> DataFra
 
     All steps are per row, so the job needs no shuffle.
     """
-    value = F.try_parse_json(F.col(column))
-    shaped = documents.select(
-        *documents.columns,
-        F.inline(F.array(F.struct(value.alias("_value"), kind(value).alias("_kind")))),
+    rows = staged(documents, _value=F.try_parse_json(column))
+    rows = staged(rows, _list=as_list(F.col("_value")), _root=as_map(F.col("_value")))
+    rows = staged(
+        rows,
+        _own=_lists(F.col("_root")),
+        _nested=F.filter(
+            F.transform(
+                F.map_entries("_root"),
+                lambda member: F.struct(
+                    member["key"].alias("key"), _lists(as_map(member["value"])).alias("lists")
+                ),
+            ),
+            lambda member: _row_count(member["lists"]) > 0,
+        ),
     )
-    root = F.when(F.col("_kind") == "object", _as_map(F.col("_value")))
-    shaped = shaped.select("*", F.inline(F.array(F.struct(root.alias("_root")))))
-
-    # Candidates in order: the root, then nested objects in document order.
+    # Members are sorted by name here, yet the first one in the text counts.
     nested_names = F.filter(
-        F.json_object_keys(F.col(column)),
-        lambda name: kind(F.try_element_at(F.col("_root"), name)) == "object",
+        F.json_object_keys(column), lambda name: F.array_contains(F.col("_nested")["key"], name)
     )
-    nested = F.transform(nested_names, lambda name: _lists(_as_map(F.try_element_at(F.col("_root"), name))))
-    candidates = F.concat(F.array(_lists(F.col("_root"))), nested)
-    columnar = F.get(F.filter(candidates, lambda lists: _rows_of(lists) > 0), F.lit(0))
-    scalars = _of_kind(F.col("_root"), "bool", "number", "text", "null")
-    shaped = shaped.select(
-        "*", F.inline(F.array(F.struct(columnar.alias("_lists"), scalars.alias("_scalars"))))
+    rows = staged(rows, _name=F.when(F.size("_nested") > 1, F.get(nested_names, F.lit(0))))
+    named = F.filter("_nested", lambda member: member["key"] == F.col("_name"))
+    chosen = F.when(F.col("_name").isNull(), F.col("_nested")).otherwise(named)
+    first_nested = F.get(chosen, F.lit(0))["lists"]
+    rows = staged(
+        rows, _columns=F.when(_row_count(F.col("_own")) > 0, F.col("_own")).otherwise(first_nested)
     )
-
-    def record_at(index: Column) -> Column:
-        picked = F.transform_values(F.col("_lists"), lambda _, items: F.get(items, index))
-        kept = F.map_filter(F.col("_scalars"), lambda name, _: ~F.map_contains_key(F.col("_lists"), name))
-        return F.to_json(F.map_concat(kept, picked), {"ignoreNullFields": "false"})
-
-    from_columns = F.transform(
-        F.sequence(F.lit(0), _rows_of(F.col("_lists")) - 1), lambda index: record_at(index)
+    scalars = F.filter(
+        F.map_entries("_root"),
+        lambda member: ~kind(member["value"]).isin("ARRAY", "OBJECT")
+        & ~F.array_contains(F.col("_columns")["key"], member["key"]),
     )
-    from_list = F.transform(
-        F.filter(_as_list(F.col("_value")), lambda item: kind(item) == "object"),
-        lambda item: F.to_json(item),
+    rows = staged(
+        rows,
+        _scalars=F.when(F.col("_columns").isNotNull(), scalars),
+        _indexes=F.sequence(F.lit(0), _row_count(F.col("_columns")) - 1),
     )
+
+    def record_at(index: Column) -> Column:
+        picked = F.transform(
+            "_columns",
+            lambda member: F.struct(
+                member["key"].alias("key"), F.get(member["items"], index).alias("value")
+            ),
+        )
+        return F.to_json(F.map_from_entries(F.concat("_scalars", picked)))
+
+    objects = F.filter("_list", lambda item: kind(item) == "OBJECT")
     records = (
-        F.when(F.col("_kind") == "array", from_list)
-        .when(F.col("_lists").isNotNull(), from_columns)
-        .when(F.col("_kind") == "object", F.array(F.to_json(F.col("_value"))))
+        F.when(F.col("_list").isNotNull(), F.transform(objects, lambda item: F.to_json(item)))
+        .when(F.col("_columns").isNotNull(), F.transform("_indexes", record_at))
+        .when(F.col("_root").isNotNull(), F.array(F.to_json("_value")))
     )
-    return shaped.select(*documents.columns, F.posexplode(records).alias("position", "record"))
+    return rows.select(*documents.columns, F.posexplode(records).alias("position", "record"))
 
 
 def build_envelopes(

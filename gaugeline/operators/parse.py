@@ -11,9 +11,8 @@ from gaugeline.functions.numbers import to_bigint, to_double
 def parse_envelopes(raw: DataFrame) -> DataFrame:
     """``raw_value`` → envelope fields and ``ingested_ts``; broken text gives nulls.
 
-    ``inline`` keeps the JSON parse in an operator of its own. As a plain
-    projection the optimizer would copy it into every filter above, and the
-    text would be parsed several times per row.
+    ``inline`` keeps the JSON parse in an operator of its own, as in ``staged``:
+    a plain projection would be copied into the filters of the rules.
     """
     parsed = raw.select(
         *raw.columns, F.inline(F.array(F.from_json("raw_value", schema.ENVELOPE)))
