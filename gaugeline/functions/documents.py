@@ -9,9 +9,7 @@ _PARSE_OPTIONS = {
     "allowUnquotedControlChars": "true",
     "allowNonNumericNumbers": "false",
 }
-_PAYLOAD = (
-    "id STRING, timestamp STRING, time STRING, temperature STRING, humidity STRING, broken_text STRING"
-)
+PAYLOAD_MEMBERS = ["id", "timestamp", "time", "temperature", "humidity"]
 
 NUMBERS = ["BIGINT", "DECIMAL", "DOUBLE", "FLOAT"]
 
@@ -21,7 +19,8 @@ def payload_fields(payload: Column) -> Column:
 
     ``broken_text`` is set where the text is no JSON object.
     """
-    return F.from_json(payload, _PAYLOAD, _PARSE_OPTIONS)
+    columns = ", ".join(f"{name} STRING" for name in [*PAYLOAD_MEMBERS, "broken_text"])
+    return F.from_json(payload, columns, _PARSE_OPTIONS)
 
 
 def is_json(payload: Column, broken_text: Column) -> Column:
@@ -34,6 +33,17 @@ def is_json(payload: Column, broken_text: Column) -> Column:
     return payload.isNotNull() & (read | F.get_json_object(payload, "$").isNotNull())
 
 
+def is_whole_json(text: Column) -> Column:
+    """Whether ``text`` is one JSON value and nothing else.
+
+    Spark's parsers stop after the first value. Text after it cannot fit into
+    both a list and an object around the whole.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    wrapped = F.try_parse_json(F.concat(F.lit('{"value":'), text, F.lit("}")))
+    return F.coalesce(F.size(as_list(listed)) == 1, F.lit(False)) & wrapped.isNotNull()
+
+
 def as_map(value: Column, path: str = "$") -> Column:
     """The members of a variant object, null for any other value."""
     return F.try_variant_get(value, path, "map<string,variant>")

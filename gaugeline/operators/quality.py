@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline import schema
-from gaugeline.functions.documents import is_json
+from gaugeline.functions.documents import is_json, is_whole_json
 from gaugeline.functions.numbers import to_double
 
 
@@ -35,7 +35,7 @@ def flag_quality(
     temperature, humidity = F.col("payload_temperature"), F.col("payload_humidity")
     json_rule = is_json(F.col("payload"), F.col("payload_broken"))
     if strict_json:
-        json_rule = json_rule & F.try_parse_json(F.col("payload")).isNotNull()
+        json_rule = json_rule & is_whole_json(F.col("payload"))
     range_rule = _outside_if_given(temperature, schema.TEMPERATURE_RANGE) | _outside_if_given(
         humidity, schema.HUMIDITY_RANGE
     )
