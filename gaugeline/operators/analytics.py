@@ -179,12 +179,16 @@ def metric_summary(recent: DataFrame, exact_id: bool = False) -> DataFrame:
 
 
 def insights(recent: DataFrame, exact_id: bool = False) -> DataFrame:
-    """Numbered sentences per source, by metric name.
+    """Numbered sentences per source, by metric name; the slice is read once."""
+    return write_insights(summarize_metrics(metric_values(recent, exact_id)))
 
-    The sentences of a source are as many as its payload has metrics, twice at
-    most; the slice is read once, silent sources included.
+
+def write_insights(summary: DataFrame) -> DataFrame:
+    """Sentences for summarized fields; those that are no metrics are passed over.
+
+    A source has at most two sentences for each metric of its payload, and a
+    fallback if there is none.
     """
-    summary = summarize_metrics(metric_values(recent, exact_id))
     name = F.concat(F.upper(F.substring("field", 1, 1)), F.lower(F.substring("field", 2, 2**31 - 1)))
     trend = (
         F.when(F.col("direction") == "Increasing", F.format_string(INCREASED, name, F.col("percentage")))
