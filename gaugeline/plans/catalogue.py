@@ -28,7 +28,10 @@ def query(build: Query) -> Query:
 
 
 def comparable(rows: DataFrame) -> DataFrame:
-    """Zone-free times, plain doubles and six digits, as another engine prints them."""
+    """Zone-free times, one integer and one fractional type, six digits.
+
+    Engines differ in these, and in the last bits of an average.
+    """
     columns = []
     for field in rows.schema.fields:
         column = F.col(field.name)
@@ -36,6 +39,8 @@ def comparable(rows: DataFrame) -> DataFrame:
             column = column.cast("timestamp_ntz")
         elif isinstance(field.dataType, (T.DoubleType, T.DecimalType)):
             column = F.round(column.cast("double"), 6)
+        elif isinstance(field.dataType, T.IntegerType):
+            column = column.cast("bigint")
         columns.append(column.alias(field.name))
     return rows.select(*columns)
 
@@ -284,6 +289,12 @@ def stat_panel(lens: EventsLens) -> DataFrame:
     return summaries.stat_panel(summaries.quality_summary(lens.metrics), "quality_rate", "click")
 
 
+@query
+def stat_panel_pipeline(lens: EventsLens) -> DataFrame:
+    summary = summaries.pipeline_summary(lens.records, as_of())
+    return summaries.stat_panel(summary, "latest_event_time", "click")
+
+
 @query
 def latest_metrics(lens: EventsLens) -> DataFrame:
     return summaries.latest_metrics(lens.metrics)

@@ -61,9 +61,9 @@ def _metrics(name: str, log: str) -> str:
 {name} AS (
   SELECT source, time_bucket(INTERVAL 5 MINUTES, ingested_ts) AS run_timestamp,
     count(*) AS total_records, count(*) FILTER (is_valid) AS valid_records,
-    count(*) FILTER (NOT is_valid) AS invalid_records, 0 AS duplicate_records,
+    count(*) FILTER (NOT is_valid) AS invalid_records, CAST(0 AS BIGINT) AS duplicate_records,
     count(*) FILTER (is_null_violation) AS null_violations,
-    count(*) FILTER (is_range_violation) AS range_violations, 0 AS freshness_violations,
+    count(*) FILTER (is_range_violation) AS range_violations, CAST(0 AS BIGINT) AS freshness_violations,
     count(*) FILTER (is_valid) / count(*) * 100.0 AS quality_rate
   FROM {log} GROUP BY ALL)"""
 
@@ -121,7 +121,7 @@ newest AS (
   QUALIFY row_number() OVER (PARTITION BY source ORDER BY run_timestamp DESC) = 1),
 cards AS (
   SELECT source, coalesce(valid, 0) AS valid_records, coalesce(invalid_records, 0) AS invalid_records,
-    0 AS duplicate_records, coalesce(null_violations, 0) AS null_violations,
+    CAST(0 AS BIGINT) AS duplicate_records, coalesce(null_violations, 0) AS null_violations,
     coalesce(range_violations, 0) AS range_violations
   FROM counts FULL JOIN newest USING (source)),
 quality AS (
@@ -148,13 +148,13 @@ METRIC_COLUMNS = """source, run_timestamp, total_records, valid_records, invalid
   round(quality_rate, 6) AS quality_rate"""
 FLAG_COLUMNS = """source, ingested_ts, event_id, is_null_violation, is_format_violation, is_json_valid"""
 LAKE_COLUMNS = """source, year(ts) AS year, month(ts) AS month, day(ts) AS day, hour(ts) AS hour, ingested_at"""
-DAILY = """CAST(window_start AS DATE) AS summary_date, source, sum(record_count) AS total_records,
+DAILY = """CAST(window_start AS DATE) AS summary_date, source, CAST(sum(record_count) AS BIGINT) AS total_records,
   round(round(avg(avg_temperature), 9), 2) AS avg_temperature,
   round(round(avg(avg_humidity), 9), 2) AS avg_humidity"""
 TODAY = f"CAST(window_start AS DATE) = CAST({NOW} AS DATE)"
-QUALITY_SUMS = """source, sum(total_records) AS total_records, sum(valid_records) AS valid_records,
-  sum(invalid_records) AS invalid_records, sum(null_violations) AS null_violations,
-  sum(range_violations) AS range_violations"""
+QUALITY_SUMS = """source, CAST(sum(total_records) AS BIGINT) AS total_records, CAST(sum(valid_records) AS BIGINT) AS valid_records,
+  CAST(sum(invalid_records) AS BIGINT) AS invalid_records, CAST(sum(null_violations) AS BIGINT) AS null_violations,
+  CAST(sum(range_violations) AS BIGINT) AS range_violations"""
 RATE = "sum(valid_records) / sum(total_records) * 100.0"
 
 
@@ -195,7 +195,7 @@ _METRICS = f"WITH {METRICS} SELECT {METRIC_COLUMNS} FROM metrics"
 
 ORACLES = {
     "parse_envelope": f"""WITH {LOG} SELECT event_id, source, ingested_at, ingested_ts,
-        CASE WHEN shape = 'broken' THEN 7 END AS broken_length,
+        CASE WHEN shape = 'broken' THEN CAST(7 AS BIGINT) END AS broken_length,
         CASE WHEN shape = 'full' THEN n END AS payload_id,
         CASE WHEN shape = 'full' THEN round(temperature, 6) END AS payload_temperature FROM log""",
     "dq_flags": f"WITH {LOG} SELECT {FLAG_COLUMNS}, is_range_violation, is_valid FROM log",
@@ -276,6 +276,8 @@ ORACLES = {
       FROM metrics GROUP BY source""",
     "stat_panel": f"""WITH {METRICS} SELECT round({RATE}, 6) AS quality_rate
       FROM metrics WHERE source = 'click'""",
+    "stat_panel_pipeline": f"""WITH {RECORDS} SELECT max(event_timestamp) AS latest_event_time
+      FROM records WHERE source = 'click'""",
     "latest_metrics": f"WITH {CARDS} SELECT {METRIC_COLUMNS} FROM newest",
     "source_quality": f"WITH {CARDS} SELECT * FROM quality",
     "source_kpis": f"""WITH {SLICE}, spans AS (
@@ -292,7 +294,7 @@ ORACLES = {
       FROM counts FULL JOIN spans USING (source) FULL JOIN rates USING (source)""",
     "overview_kpis": f"""WITH {CARDS}, {REGISTRY}
       SELECT count(*) FILTER (status = 'active') AS active_sources, count(*) AS configured_sources,
-        coalesce(sum(total_records), 0) AS total_records,
+        CAST(coalesce(sum(total_records), 0) AS BIGINT) AS total_records,
         round(avg(quality_rate), 6) AS avg_quality_rate
       FROM registry LEFT JOIN quality ON name = source""",
     "violation_breakdown": f"""WITH {CARDS}, tall AS (
@@ -338,7 +340,7 @@ ORACLES = {
         CASE WHEN avg_temperature <> 0 THEN round(round(avg_temperature, 9), 2) END AS avg_temperature,
         CASE WHEN avg_humidity <> 0 THEN round(round(avg_humidity, 9), 2) END AS avg_humidity,
         record_count FROM {_page('aggregates', 'window_start DESC NULLS FIRST')}""",
-    "ingest_series": f"""WITH {RECORDS} SELECT event_timestamp AS time, 1 AS ingested FROM records
+    "ingest_series": f"""WITH {RECORDS} SELECT event_timestamp AS time, CAST(1 AS BIGINT) AS ingested FROM records
       ORDER BY event_timestamp DESC NULLS FIRST, event_id LIMIT 100""",
     "latency_series": f"""WITH {RECORDS} SELECT event_timestamp AS time,
         round(epoch(processed_at - event_timestamp), 6) AS latency FROM records
@@ -353,7 +355,7 @@ ORACLES = {
         {NOW} - INTERVAL 15 MINUTES AS threshold,
         coalesce(max(processed_at) >= {NOW} - INTERVAL 15 MINUTES, TRUE) AS passed FROM records""",
     "check_quality_rate": f"""WITH {METRICS} SELECT 'quality_rate' AS check_name, source,
-        round({RATE}, 6) AS value, 95.0 AS threshold, {RATE} >= 95.0 AS passed
+        round({RATE}, 6) AS value, CAST(95 AS DOUBLE) AS threshold, {RATE} >= 95.0 AS passed
       FROM metrics GROUP BY source""",
     "retention_purge": f"""WITH {RECORDS} SELECT {RECORD_COLUMNS} FROM records
       WHERE event_timestamp >= {NOW} - INTERVAL 7 DAYS OR event_timestamp IS NULL""",
