@@ -478,14 +478,14 @@ def stream_raw(lens: EventsLens) -> DataFrame:
 @query
 def stream_quarantine(lens: EventsLens) -> DataFrame:
     app = _streamed(lens, lens.first_log)
-    app.start_landing().awaitTermination()
+    app.start_landing(["quarantine"]).awaitTermination()
     return _quarantined(app.quarantine())
 
 
 @query
 def stream_records(lens: EventsLens) -> DataFrame:
     app = _streamed(lens, lens.both_logs)
-    app.start_landing().awaitTermination()
+    app.start_landing(["records"]).awaitTermination()
     return app.records.latest().drop("payload")
 
 

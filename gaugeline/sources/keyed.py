@@ -73,9 +73,20 @@ class KeyedTable:
         version, up_to = self._current()
         return self._merged(version, up_to, None)
 
-    def compact(self, up_to: int, keep: Column | None = None) -> None:
-        """Fold the batches up to ``up_to`` into a new base, keeping rows that match ``keep``."""
+    def last_batch(self) -> int:
+        """The highest batch in the log, -1 if there is none; from the folder names."""
+        log = self._read("log", f"{self.spec.columns}, batch_id BIGINT")
+        return log.agg(F.coalesce(F.max("batch_id"), F.lit(-1)).alias("last")).first().last
+
+    def compact(self, up_to: int | None = None, keep: Column | None = None) -> None:
+        """Fold the batches up to ``up_to`` into a new base, keeping rows that match ``keep``.
+
+        By default all but the last batch, which a running stream may still be
+        writing.
+        """
         version, folded = self._current()
+        if up_to is None:
+            up_to = max(folded, self.last_batch() - 1)
         if up_to < folded:
             raise ValueError(f"batches up to {folded} are folded already")
         rows = self._merged(version, folded, up_to)

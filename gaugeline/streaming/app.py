@@ -1,6 +1,6 @@
 """The streaming application: one event log, one lake, three serving tables."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +20,8 @@ from gaugeline.streaming.transforms import (
     watermarked_events,
 )
 
+LANDED = ("raw", "quarantine", "records")
+
 
 class TelemetryApp:
     """Starts the streaming queries of one event log under one output folder.
@@ -61,16 +63,21 @@ class TelemetryApp:
     def processed(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/processed")
 
-    def start_landing(self) -> StreamingQuery:
+    def start_landing(self, outputs: Sequence[str] = LANDED) -> StreamingQuery:
+        """Write the stateless outputs; leave some out only under a root of their own."""
+
         def land(batch: DataFrame, batch_id: int) -> None:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                events = typed_events(valid_rows(batch), self.processed_at)
-                write_batch(
-                    raw_lake_rows(batch), f"{self.root}/raw", batch_id, schema.LAKE_PARTITIONS
-                )
-                write_batch(quarantine_rows(batch), f"{self.root}/quarantine", batch_id, ["source"])
-                self.records.upsert(serving_records(events), batch_id)
+                if "raw" in outputs:
+                    raw = raw_lake_rows(batch)
+                    write_batch(raw, f"{self.root}/raw", batch_id, schema.LAKE_PARTITIONS)
+                if "quarantine" in outputs:
+                    bad = quarantine_rows(batch)
+                    write_batch(bad, f"{self.root}/quarantine", batch_id, ["source"])
+                if "records" in outputs:
+                    events = typed_events(valid_rows(batch), self.processed_at)
+                    self.records.upsert(serving_records(events), batch_id)
             finally:
                 batch.unpersist()
 
