@@ -23,6 +23,16 @@ def payload_fields(payload: Column) -> Column:
     return F.from_json(payload, columns, _PARSE_OPTIONS)
 
 
+def first_member(document: Column, name: str, last: Column) -> Column:
+    """The first member called ``name``, given the ``last`` one from a parse.
+
+    Only a document in which the quoted name stands twice is read again.
+    """
+    up_to_second = F.substring_index(document, f'"{name}"', 2)
+    twice = F.octet_length(up_to_second) < F.octet_length(document)
+    return F.when(twice, F.get_json_object(document, f"$.{name}")).otherwise(last)
+
+
 def is_json(payload: Column, broken_text: Column) -> Column:
     """Whether ``payload`` starts with a JSON value.
 

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline import schema
-from gaugeline.functions.documents import PAYLOAD_MEMBERS, payload_fields
+from gaugeline.functions.documents import PAYLOAD_MEMBERS, first_member, payload_fields
 from gaugeline.functions.numbers import to_bigint, to_double
 
 
@@ -24,13 +24,18 @@ def parse_payload(envelopes: DataFrame) -> DataFrame:
     """Add the payload members used by rules and records, as ``payload_*`` text.
 
     A document that breaks off half-way has no members, even where some were
-    read before the break.
+    read before the break. Where a name occurs twice the first one counts.
     """
     names = [f"payload_{name}" for name in PAYLOAD_MEMBERS]
-    fields = payload_fields(F.col("payload"))
-    read = envelopes.select("*", F.inline(F.array(fields)).alias(*names, "payload_broken"))
+    payload = F.col("payload")
+    read = envelopes.select("*", F.inline(F.array(payload_fields(payload))).alias(*names, "payload_broken"))
     whole = F.col("payload_broken").isNull()
-    return read.withColumns({name: F.when(whole, F.col(name)) for name in names})
+    return read.withColumns(
+        {
+            name: F.when(whole, first_member(payload, member, F.col(name)))
+            for name, member in zip(names, PAYLOAD_MEMBERS)
+        }
+    )
 
 
 def time_parts(rows: DataFrame, moment: str) -> DataFrame:

@@ -98,6 +98,7 @@ PAYLOADS = [
     '{"temperature":true}', '{"temperature":5,}', '{"a":"x\ty","temperature":4}', '{"Temperature":4}',
     '{"temperature":"  7 "}', '{"temperature":1.0E2,"humidity":-0.0}', '{"temperature":"1d"}',
     '{"temperature":20,"humidity":', '{"temperature":12345678901234567890.5}', '{"id":1e3}',
+    '{"temperature":1,"temperature":2}', '{"humidity":null,"x":[],"humidity":7}', '{"id":"id","x":"id"}',
     '{"time":"2026-01-01","timestamp":null}', '{"temperature":"inf"}', '{"x":{"temperature":9}}',
 ]
 
