@@ -24,7 +24,7 @@ NO_TREND = "Not enough data to determine a trend."
 def recent_slice(records: DataFrame, size: int = schema.SLICE_SIZE) -> DataFrame:
     """The newest records of each source: ``rank`` 1 is the newest, ``seq`` 1 the oldest."""
     order = [F.col("processed_at").desc_nulls_first(), F.col("event_id").asc()]
-    newest = top_per_key(records, ["source"], order, size, spread_on="event_id")
+    newest = top_per_key(records, ["source"], order, size)
     kept = F.max("rank").over(Window.partitionBy("source"))
     return newest.withColumn("seq", kept - F.col("rank") + 1)
 

@@ -22,7 +22,7 @@ AGGREGATE_COLUMNS = ["window_start", "window_end", "avg_temperature", "avg_humid
 
 
 def _page(
-    rows: DataFrame, order: list[Column], tie: str, source: str | None, limit: int, offset: int
+    rows: DataFrame, order: list[Column], source: str | None, limit: int, offset: int
 ) -> DataFrame:
     """One page of one source, or the same page of every source."""
     if not 1 <= limit <= schema.PAGE_LIMIT:
@@ -31,7 +31,7 @@ def _page(
         raise ValueError("offset must not be negative")
     if source is not None:
         return rows.filter(F.col("source") == source).orderBy(*order).offset(offset).limit(limit)
-    ranked = top_per_key(rows, ["source"], order, offset + limit, spread_on=tie)
+    ranked = top_per_key(rows, ["source"], order, offset + limit)
     return ranked.filter(F.col("rank") > offset).drop("rank")
 
 
@@ -45,14 +45,14 @@ def records_page(
 ) -> DataFrame:
     order = _newest("event_timestamp", "event_id")
     rows = records.select("source", *RECORD_COLUMNS)
-    return _page(rows, order, "event_id", source, limit, offset)
+    return _page(rows, order, source, limit, offset)
 
 
 def recent_records(records: DataFrame, source: str | None = None) -> DataFrame:
     """The 20 newest events with their payload."""
     order = _newest("event_timestamp", "event_id")
     rows = records.select("source", *RECENT_COLUMNS)
-    return _page(rows, order, "event_id", source, schema.PAGE_SIZE, 0)
+    return _page(rows, order, source, schema.PAGE_SIZE, 0)
 
 
 def aggregates_page(
@@ -61,7 +61,7 @@ def aggregates_page(
     """Newest windows; averages with two digits, an average of zero shows as null."""
     order = [F.col("window_start").desc_nulls_first()]
     rows = aggregates.select("source", *AGGREGATE_COLUMNS)
-    page = _page(rows, order, "window_start", source, limit, offset)
+    page = _page(rows, order, source, limit, offset)
     return page.withColumns(
         {
             name: F.when(F.col(name) != 0, stable_round(F.col(name), 2))

@@ -11,18 +11,19 @@ def top_per_key(
     keys: list[str],
     order: list[Column],
     count: int,
-    spread_on: str,
     rank: str = "rank",
     spread: int = SPREAD,
 ) -> DataFrame:
     """The ``count`` first rows of each key in ``order``, with their ``rank``.
 
-    Two exact steps. The first ranks within (key, slot), where the slot is a
-    hash of ``spread_on``, so a hot key is shared by ``spread`` tasks; each
-    keeps ``count`` rows and Spark already drops the rest before the shuffle.
-    The second ranks at most ``spread * count`` rows per key.
+    Two exact steps. The first ranks within (key, slot), where all rows of an
+    input partition share a slot: each input task sends at most ``count`` rows
+    per key, since Spark drops the rest before the shuffle, and these rows of a
+    hot key go to ``spread`` tasks. The second ranks the at most
+    ``spread * count`` rows per key that are left. Which slot a row falls into
+    does not change the result.
     """
-    slot = F.pmod(F.xxhash64(spread_on), F.lit(spread))
+    slot = F.pmod(F.spark_partition_id(), F.lit(spread))
     within = Window.partitionBy(*keys, "_slot").orderBy(*order)
     overall = Window.partitionBy(*keys).orderBy(*order)
     return (

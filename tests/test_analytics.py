@@ -156,7 +156,7 @@ def test_top_per_key_spreads_a_hot_key(spark):
         F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("source"),
         F.col("id").alias("n"),
     )
-    top = top_per_key(rows, ["source"], [F.col("n").desc()], 3, spread_on="n", spread=4)
+    top = top_per_key(rows, ["source"], [F.col("n").desc()], 3, spread=4)
     hot = top.filter("source = 'hot'").orderBy("rank").collect()
     assert [r.n for r in hot] == [49_999, 49_997, 49_996]
     assert top.count() == 3 + rows.filter("source <> 'hot'").count()
