@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from gaugeline import schema
 from gaugeline.operators import analytics, checks, normalize, pages, quality, registry, summaries
-from gaugeline.operators.parse import raw_lake_rows, time_parts
+from gaugeline.operators.parse import parse_envelopes, raw_lake_rows
 from gaugeline.operators.ranking import first_per_key
 from gaugeline.operators.upsert import merge_batches
 from gaugeline.operators.windows import count_duplicates
@@ -111,7 +111,7 @@ def processed_records(lens: EventsLens) -> DataFrame:
 
 @query
 def raw_partitions(lens: EventsLens) -> DataFrame:
-    return _located(raw_lake_rows(lens.parsed(lens.first_log)))
+    return _located(raw_lake_rows(parse_envelopes(lens.first_log)))
 
 
 def _located(rows: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def _located(rows: DataFrame) -> DataFrame:
 def lake_read(lens: EventsLens) -> DataFrame:
     """Store the raw lake, then read one source of it through its partition."""
     path = work_folder(lens.spark, "raw-lake")
-    rows = raw_lake_rows(lens.parsed(lens.first_log))
+    rows = raw_lake_rows(parse_envelopes(lens.first_log))
     tasks = lens.spark.sparkContext.defaultParallelism
     write_lake(rows, path, schema.LAKE_PARTITIONS, tasks=tasks, split_on="raw_value")
     return _located(read_lake(lens.spark, path, source="click"))
@@ -188,7 +188,7 @@ def envelope_build(lens: EventsLens) -> DataFrame:
 @query
 def infer_schema(lens: EventsLens) -> DataFrame:
     """Field types over every payload and property document, counted per source."""
-    payloads = lens.parsed(lens.first_log).select("source", F.col("payload").alias("document"))
+    payloads = parse_envelopes(lens.first_log).select("source", F.col("payload").alias("document"))
     props = lens.events.select(F.col("event_type").alias("source"), F.col("props").alias("document"))
     typed = analytics.infer_schema(payloads.unionByName(props))
     return typed.groupBy("source", "field", "field_type").agg(F.count(F.lit(1)).alias("documents"))

@@ -53,3 +53,16 @@ def write_kafka(messages: DataFrame, servers: str) -> None:
 def write_text_log(messages: DataFrame, path: str) -> None:
     """The file form of the log: one envelope per line."""
     messages.select("value").write.mode("append").text(path)
+
+
+def publish_jdbc(
+    rows: DataFrame, url: str, table: str, tasks: int | None = None, **options: str
+) -> None:
+    """Replace the rows of a database table, for instance by a keyed table's latest view.
+
+    ``tasks`` bounds the number of connections. Needs the driver's JDBC jar.
+    """
+    writer = rows.write.format("jdbc").mode("overwrite").option("truncate", "true")
+    if tasks:
+        writer = writer.option("numPartitions", tasks)
+    writer.option("url", url).option("dbtable", table).options(**options).save()

@@ -8,7 +8,7 @@ import pytest
 from conftest import reading
 
 from gaugeline import jobs, schema
-from gaugeline.sources.keyed import DAILY, METRICS, RECORDS, KeyedTable
+from gaugeline.sources.keyed import METRICS, RECORDS, KeyedTable
 from gaugeline.sources.readers import file_log
 from gaugeline.sources.writers import write_text_log
 from gaugeline.streaming.app import TelemetryApp
