@@ -48,7 +48,7 @@ def latest_metrics(metrics: DataFrame) -> DataFrame:
     return latest_per_key(metrics, ["source"], ["run_timestamp"])
 
 
-def pipeline_summary(records: DataFrame, as_of: Column) -> DataFrame:
+def processing_summary(records: DataFrame, as_of: Column) -> DataFrame:
     return records.groupBy("source").agg(
         F.max("event_timestamp").alias("latest_event_time"),
         F.max("processed_at").alias("latest_processing_time"),

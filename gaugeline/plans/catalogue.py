@@ -270,8 +270,8 @@ def daily_rollup_weighted(lens: EventsLens) -> DataFrame:
 
 
 @query
-def pipeline_summary(lens: EventsLens) -> DataFrame:
-    return summaries.pipeline_summary(lens.records, as_of())
+def processing_summary(lens: EventsLens) -> DataFrame:
+    return summaries.processing_summary(lens.records, as_of())
 
 
 @query
@@ -290,8 +290,8 @@ def stat_panel(lens: EventsLens) -> DataFrame:
 
 
 @query
-def stat_panel_pipeline(lens: EventsLens) -> DataFrame:
-    summary = summaries.pipeline_summary(lens.records, as_of())
+def stat_panel_processing(lens: EventsLens) -> DataFrame:
+    summary = summaries.processing_summary(lens.records, as_of())
     return summaries.stat_panel(summary, "latest_event_time", "click")
 
 
@@ -446,7 +446,7 @@ def retention_purge(lens: EventsLens) -> DataFrame:
 
 @query
 def freshness_bucket(lens: EventsLens) -> DataFrame:
-    rows = summaries.pipeline_summary(lens.records, as_of())
+    rows = summaries.processing_summary(lens.records, as_of())
     return rows.select("source", checks.freshness_label(F.col("freshness_seconds")).alias("freshness"))
 
 

@@ -266,7 +266,7 @@ ORACLES = {
         round(round(avg(humidity), 9), 2) AS avg_humidity, {NOW} AS last_updated
       FROM records WHERE CAST(event_timestamp AS DATE) = CAST({NOW} AS DATE)
       GROUP BY source, CAST(event_timestamp AS DATE)""",
-    "pipeline_summary": f"""WITH {RECORDS} SELECT source, max(event_timestamp) AS latest_event_time,
+    "processing_summary": f"""WITH {RECORDS} SELECT source, max(event_timestamp) AS latest_event_time,
         max(processed_at) AS latest_processing_time, count(*) AS total_records,
         round(epoch({NOW} - max(processed_at)), 6) AS freshness_seconds
       FROM records GROUP BY source""",
@@ -276,7 +276,7 @@ ORACLES = {
       FROM metrics GROUP BY source""",
     "stat_panel": f"""WITH {METRICS} SELECT round({RATE}, 6) AS quality_rate
       FROM metrics WHERE source = 'click'""",
-    "stat_panel_pipeline": f"""WITH {RECORDS} SELECT max(event_timestamp) AS latest_event_time
+    "stat_panel_processing": f"""WITH {RECORDS} SELECT max(event_timestamp) AS latest_event_time
       FROM records WHERE source = 'click'""",
     "latest_metrics": f"WITH {CARDS} SELECT {METRIC_COLUMNS} FROM newest",
     "source_quality": f"WITH {CARDS} SELECT * FROM quality",
