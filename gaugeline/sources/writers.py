@@ -39,7 +39,8 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str]
     Tasks write straight from their input split: a micro-batch spans few hours,
     and no shuffle means no hot task.
     """
-    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = writer.option("maxRecordsPerFile", MAX_FILE_ROWS)
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(f"{path}/batch_id={batch_id}")

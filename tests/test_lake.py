@@ -1,0 +1,91 @@
+from pathlib import Path
+
+import pytest
+from conftest import envelope
+from pyspark.sql import functions as F
+
+from gaugeline import schema
+from gaugeline.operators.parse import parse_envelopes, raw_lake_rows
+from gaugeline.session import work_folder
+from gaugeline.sources.readers import read_lake
+from gaugeline.sources.writers import write_batch, write_lake
+
+HOT = "source=hot/year=2026/month=8/day=9/hour=17"
+
+
+@pytest.fixture(scope="module")
+def rows(texts):
+    lines = [envelope(source="hot", payload=f'{{"id":{n}}}') for n in range(600)]
+    lines += [envelope(source=f"s{n}", ingested_at=f"2026-08-09T{n % 24:02d}:00:00Z") for n in range(60)]
+    return raw_lake_rows(parse_envelopes(texts([*lines, "broken"]))).cache()
+
+
+@pytest.mark.parametrize("options", [{}, {"tasks": 8, "split_on": "raw_value"}])
+def test_lake_round_trip(spark, rows, tmp_path, options):
+    path = str(tmp_path / "lake")
+    write_lake(rows, path, schema.LAKE_PARTITIONS, **options)
+    assert read_lake(spark, path).select(*rows.columns).exceptAll(rows).count() == 0
+    assert read_lake(spark, path).count() == rows.count()
+    one = read_lake(spark, path, source="hot", hour=17)
+    assert one.count() == 600
+    scan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in scan
+    write_lake(rows, path, schema.LAKE_PARTITIONS, **options)
+    assert read_lake(spark, path).count() == 2 * rows.count()
+
+
+def test_hot_folder_is_written_by_several_tasks(rows, tmp_path):
+    write_lake(rows, str(tmp_path / "lake"), schema.LAKE_PARTITIONS, tasks=8, split_on="raw_value")
+    assert len(list((tmp_path / "lake" / HOT).glob("*.parquet"))) > 3
+
+
+def test_rebalance_splits_a_hot_folder(spark, rows, tmp_path):
+    """With a small advisory size AQE shares the hot folder between tasks."""
+    wide = rows.withColumn("raw_value", F.repeat("raw_value", 500)).repartition(8)
+    names = ["advisoryPartitionSizeInBytes", "coalescePartitions.parallelismFirst"]
+    before = {name: spark.conf.get(f"spark.sql.adaptive.{name}") for name in names}
+    try:
+        spark.conf.set(f"spark.sql.adaptive.{names[0]}", "64kb")
+        spark.conf.set(f"spark.sql.adaptive.{names[1]}", "false")
+        write_lake(wide, str(tmp_path / "lake"), schema.LAKE_PARTITIONS)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(f"spark.sql.adaptive.{name}", value)
+    assert len(list((tmp_path / "lake" / HOT).glob("*.parquet"))) > 1
+    assert read_lake(spark, str(tmp_path / "lake")).count() == rows.count()
+
+
+def test_batch_folders_replace_themselves(spark, rows, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_batch(rows, path, 0, schema.LAKE_PARTITIONS)
+        write_batch(rows.filter("source = 'hot'"), path, 0, schema.LAKE_PARTITIONS)
+        write_batch(rows.limit(5), path, 1, schema.LAKE_PARTITIONS)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert spark.read.parquet(path).count() == 605
+
+
+def test_missing_source_reads_back_as_null(spark, rows, tmp_path):
+    write_batch(rows.filter("source IS NULL"), str(tmp_path / "raw"), 0, schema.LAKE_PARTITIONS)
+    row = spark.read.parquet(str(tmp_path / "raw")).first()
+    assert (row.raw_value, row.source, row.hour) == ("broken", None, None)
+
+
+def test_work_folders_lie_in_the_shared_folder(spark):
+    first, second = work_folder(spark, "x"), work_folder(spark, "x")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert first != second and Path(first).parent == Path(shared)
+
+
+def test_work_folder_needs_a_shared_folder_on_a_cluster():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Cluster, "x")
