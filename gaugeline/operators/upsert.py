@@ -31,15 +31,20 @@ def merge_into_base(
     mutable: list[str],
     order: str = "batch_id",
 ) -> DataFrame:
-    """``merge_batches`` of base and delta without shuffling the base.
+    """``merge_batches`` of an older base and newer batches, without shuffling the base.
 
-    Only base rows whose key occurs in the delta are merged; the others pass
-    through. Both joins leave the choice to Spark, which broadcasts the delta's
-    keys only when their measured size is below the broadcast threshold.
+    The base is read once in full, to take over mutable columns, and once for
+    its keys alone, to tell new keys from known ones. Both joins leave the
+    choice to Spark, which broadcasts the delta's side only when its measured
+    size is below the broadcast threshold.
     """
-    touched = delta.select(*keys).distinct()
-    changed = merge_batches(
-        base.join(touched, keys, "left_semi").unionByName(delta), keys, frozen, mutable, order
-    )
-    untouched = base.join(touched, keys, "left_anti")
-    return untouched.select(*changed.columns).unionByName(changed)
+    newer = merge_batches(delta, keys, frozen, mutable, order)
+    changes = newer.select(*keys, F.struct(*mutable).alias("_newer"))
+    taken_over = {
+        name: F.when(F.col("_newer").isNotNull(), F.col(f"_newer.{name}")).otherwise(F.col(name))
+        for name in mutable
+    }
+    updated = base.join(changes, keys, "left").withColumns(taken_over)
+    known = base.select(*keys).join(newer.select(*keys), keys, "left_semi")
+    added = newer.join(known, keys, "left_anti")
+    return updated.select(*newer.columns).unionByName(added)

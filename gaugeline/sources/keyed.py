@@ -106,7 +106,6 @@ class KeyedTable:
         if version == 0:
             return merge_batches(delta, spec.keys, spec.frozen, spec.mutable)
         base = self._read(f"base/version={version}", spec.columns)
-        base = base.withColumn("batch_id", F.lit(folded).cast("bigint"))
         return merge_into_base(base, delta, spec.keys, spec.frozen, spec.mutable)
 
     def _current(self) -> tuple[int, int]:

@@ -4,7 +4,7 @@ import pytest
 
 from gaugeline import schema
 from gaugeline.operators.checks import keep_recent
-from gaugeline.operators.upsert import merge_batches
+from gaugeline.operators.upsert import merge_batches, merge_into_base
 from gaugeline.sources.keyed import AGGREGATES, RECORDS, KeyedTable
 from pyspark.sql import functions as F
 
@@ -112,3 +112,26 @@ def test_hot_key_is_folded_before_the_shuffle(spark):
     hot = merged.filter("k = 'hot'").first()
     assert (hot["first"], hot["last"]) == (1, 9998)
     assert "partial_max_by" in merged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_base_is_not_shuffled(spark):
+    """A large base meets a small delta through broadcast joins."""
+    base = spark.range(0, 200_000, 1, 8).select(
+        F.col("id").cast("string").alias("k"), F.lit(0).alias("first"), F.lit(0).alias("last")
+    )
+    changes = [("7", 1, 1, 1), ("7", 2, 2, 2), ("new", 1, 1, 1)]
+    delta = spark.createDataFrame(changes, "k STRING, first INT, last INT, batch_id INT")
+    merged = merge_into_base(base, delta, ["k"], ["first"], ["last"])
+    changed = merged.filter("last > 0 OR first > 0").orderBy("k").collect()
+    assert [tuple(row) for row in changed] == [("7", 0, 2), ("new", 1, 1)]
+    assert merged.count() == 200_001
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1mb")  # less than the base
+    try:
+        merged = merge_into_base(base, delta, ["k"], ["first"], ["last"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("Range (0, 200000") == 2
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert sorted("LeftOuter" in line for line in joins if "LeftAnti" not in line) == [False, True]
