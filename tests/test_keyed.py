@@ -114,13 +114,15 @@ def test_hot_key_is_folded_before_the_shuffle(spark):
     assert "partial_max_by" in merged._jdf.queryExecution().executedPlan().toString()
 
 
-def test_base_is_not_shuffled(spark):
-    """A large base meets a small delta through broadcast joins."""
+def test_base_is_not_shuffled(spark, tmp_path):
+    """A large base meets a small stored delta through broadcast joins."""
     base = spark.range(0, 200_000, 1, 8).select(
         F.col("id").cast("string").alias("k"), F.lit(0).alias("first"), F.lit(0).alias("last")
     )
     changes = [("7", 1, 1, 1), ("7", 2, 2, 2), ("new", 1, 1, 1)]
     delta = spark.createDataFrame(changes, "k STRING, first INT, last INT, batch_id INT")
+    delta.write.parquet(str(tmp_path / "delta"))
+    delta = spark.read.parquet(str(tmp_path / "delta"))
     merged = merge_into_base(base, delta, ["k"], ["first"], ["last"])
     changed = merged.filter("last > 0 OR first > 0").orderBy("k").collect()
     assert [tuple(row) for row in changed] == [("7", 0, 2), ("new", 1, 1)]
