@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gaugeline.llm.decontaminate import contamination
 from gaugeline.llm.packing import pack_documents
+from gaugeline.llm.sketch_dedup import near_duplicates
 from gaugeline.llm.token_files import token_offsets
 
 
@@ -14,6 +16,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near copies among all documents."""
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("row_key", "spans")
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens."""
     return pack_documents(table(spark, folder, "documents"))
@@ -29,4 +42,36 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_benchmark_decontamination": r"""
+WITH item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n,
+    array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win
+  FROM (SELECT item, w, unnest(range(1, 2 + greatest(len(w) - 10, 0))) AS i FROM item_words WHERE len(w) > 0)),
+doc_words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+spots AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w
+  FROM doc_words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+hits AS (
+  SELECT DISTINCT doc_id, i, s.n, item
+  FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM spots) s
+  JOIN windows USING (n, win)),
+places AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit
+  FROM (SELECT doc_id, i, unnest(range(0, n)) AS k FROM hits) GROUP BY 1),
+items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(digest, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc_words LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
