@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeline.llm.decontaminate import contamination
 from gaugeline.llm.packing import pack_documents
+from gaugeline.llm.quality import fold, quality_scores
 from gaugeline.llm.sketch_dedup import near_duplicates
 from gaugeline.llm.token_files import token_offsets
 
@@ -21,6 +23,13 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score of every document."""
+    scored = quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
