@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeline.llm.class_lm import class_scores
 from gaugeline.llm.decontaminate import contamination
 from gaugeline.llm.packing import pack_documents
 from gaugeline.llm.quality import fold, quality_scores
@@ -18,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_class_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document under the class-based model."""
+    return class_scores(table(spark, folder, "documents"))
+
+
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of near copies among all documents."""
     return near_duplicates(table(spark, folder, "documents"))
