@@ -13,6 +13,7 @@ from gaugeline.llm.packing import pack_documents
 from gaugeline.llm.quality import fold, quality_scores
 from gaugeline.llm.sketch_dedup import near_duplicates
 from gaugeline.llm.token_files import token_offsets
+from gaugeline.llm.warc import archive_round_trip
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +37,12 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", "predicted")
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's record, read back from Zstandard archives."""
+    found = archive_round_trip(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -31,7 +31,7 @@ def open_output(uri: str):
     """A binary output stream for a path or URI that executors share."""
     files, path = pafs.FileSystem.from_uri(uri)
     files.create_dir(posixpath.dirname(path), recursive=True)
-    return files.open_output_stream(path)
+    return files.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):
