@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm.class_lm import class_scores
+from gaugeline.llm.code_dedup import near_vectors
 from gaugeline.llm.decontaminate import contamination
 from gaugeline.llm.packing import pack_documents
 from gaugeline.llm.quality import fold, quality_scores
@@ -30,6 +31,11 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and groups among all embeddings."""
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """A quality score of every document."""
     scored = quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
