@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gaugeline.llm.class_lm import class_scores
 from gaugeline.llm.code_dedup import near_vectors
 from gaugeline.llm.decontaminate import contamination
+from gaugeline.llm.html_text import extract_text
 from gaugeline.llm.packing import pack_documents
 from gaugeline.llm.quality import fold, quality_scores
 from gaugeline.llm.sketch_dedup import near_duplicates
@@ -55,6 +56,11 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return found.drop("row_key", "spans")
 
 
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(table(spark, folder, "pages"))
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens."""
     return pack_documents(table(spark, folder, "documents"))
