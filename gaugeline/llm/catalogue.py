@@ -15,6 +15,7 @@ from gaugeline.llm.packing import pack_documents
 from gaugeline.llm.quality import fold, quality_scores
 from gaugeline.llm.sketch_dedup import near_duplicates
 from gaugeline.llm.token_files import token_offsets
+from gaugeline.llm.tool_calls import link_conversations
 from gaugeline.llm.warc import archive_round_trip
 
 
@@ -32,6 +33,11 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """Every turn that calls or answers, linked, checked, ordered and serialised."""
+    return link_conversations(table(spark, folder, "conversations"))
+
+
 def op4_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Links and groups among all embeddings."""
     return near_vectors(table(spark, folder, "embeddings"))
@@ -77,6 +83,26 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 ORACLES: dict[str, str] = {
+    "op3_tool_calls": r"""
+WITH calls AS (
+  SELECT conv_id, 'turn-' || turn AS call_id, turn, text FROM conversations WHERE role = 'user'),
+answers AS (
+  SELECT conv_id, 'turn-' || (turn - 1) AS call_id, turn, text FROM conversations WHERE role = 'assistant'),
+linked AS (
+  SELECT c.conv_id, c.call_id, c.turn, 'reply' AS name,
+    row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn) - 1 AS position,
+    CASE WHEN a.turn IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+    CASE WHEN c.turn >= 2 AND NOT EXISTS (
+      SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2) THEN 'unknown need' ELSE '' END AS problems,
+    '{"arguments":{"text":' || CAST(to_json(c.text) AS VARCHAR) || ',"turn":' || c.turn || '},"id":"' || c.call_id
+      || '","name":"reply"' || CASE WHEN a.text IS NULL THEN '' ELSE ',"result":' || CAST(to_json(a.text) AS VARCHAR) END
+      || '}' AS json
+  FROM calls c LEFT JOIN answers a USING (conv_id, call_id))
+SELECT conv_id, call_id, turn, name, position, status, problems, problems = '' AS valid, json FROM linked
+UNION ALL
+SELECT conv_id, call_id, turn, NULL, NULL, 'orphan', '', false,
+  '{"id":"' || call_id || '","result":' || CAST(to_json(text) AS VARCHAR) || '}'
+FROM answers a WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = a.conv_id AND c.call_id = a.call_id)""",
     "op7_benchmark_decontamination": r"""
 WITH item_words AS (
   SELECT CAST(item_id AS VARCHAR) AS item,
