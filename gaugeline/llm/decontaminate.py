@@ -56,9 +56,12 @@ def item_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
-    """A row's own key: rows that share a doc_id but not a text are kept apart."""
-    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    return docs.withColumn("row_key", F.xxhash64(doc_id, text))
+    """(doc_id, text, row_key, whole): whole holds all columns, whatever their names.
+
+    The key keeps rows apart that share a doc_id but not a text.
+    """
+    doc_id, text = F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    return docs.select(doc_id, text, F.xxhash64(doc_id, text).alias("row_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
 
 
 def find_windows(docs: DataFrame, windows: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -72,7 +75,7 @@ def find_windows(docs: DataFrame, windows: DataFrame, n: int = WINDOW) -> DataFr
     size = distinct.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("window") + 48), F.lit(0))).first()
     parts = max(1, -(-size[0] // SET_ROWS), -(-size[1] // SET_BYTES))
     lengths = sorted(r[0] for r in distinct.select("n").distinct().collect())  # n rows at most
-    keyed = _with_key(docs).select("doc_id", "row_key", words_of(F.col("text").cast("string")).alias("all"))
+    keyed = _with_key(docs).select("doc_id", "row_key", words_of(F.col("text")).alias("all"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(BLOCK_WORDS))
     # The outer forms keep Spark from adding filters that compute the arrays a second time.
     blocks = (
@@ -103,6 +106,10 @@ def find_windows(docs: DataFrame, windows: DataFrame, n: int = WINDOW) -> DataFr
     return reduce(DataFrame.unionByName, found)
 
 
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    return a["row_key"].eqNullSafe(b["row_key"]) & a["doc_id"].eqNullSafe(b["doc_id"])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """Per row of ``docs``: doc_id, row_key, n_words, spans, n_hit, n_items, items_sha256, contaminated.
 
@@ -128,13 +135,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Dat
             F.greatest(a["to"], x["end"]).alias("to"),
         ),
     )["n"]
-    same = lambda a, b: a["row_key"].eqNullSafe(b["row_key"]) & a["doc_id"].eqNullSafe(b["doc_id"])
-    found = spans.join(items, same(spans, items)).select(
+    found = spans.join(items, _same(spans, items)).select(
         spans["doc_id"], spans["row_key"], "spans", covered.cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("digest"),
     )
-    rows = _with_key(docs).select("doc_id", "row_key", count_words(F.col("text").cast("string")).alias("n_words"))
-    return rows.join(found, same(rows, found), "left").select(
+    rows = _with_key(docs).select("doc_id", "row_key", count_words(F.col("text")).alias("n_words"))
+    return rows.join(found, _same(rows, found), "left").select(
         rows["doc_id"], rows["row_key"], "n_words", "spans",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
@@ -146,12 +152,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Dat
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no window of the benchmark."""
     windows = stored(item_windows(benchmark, n), "item-windows")
-    hits = stored(find_windows(docs, windows, n).select("doc_id", "row_key").distinct(), "hit-rows")
-    keyed, hit = _with_key(docs), hits
-    kept = keyed.join(
-        hit, keyed["row_key"].eqNullSafe(hit["row_key"]) & keyed["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti"
-    )
-    return kept.select(*[keyed[name] for name in docs.columns])
+    hit = stored(find_windows(docs, windows, n).select("doc_id", "row_key").distinct(), "hit-rows")
+    keyed = _with_key(docs)
+    return keyed.join(hit, _same(keyed, hit), "left_anti").select("whole.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -161,8 +164,6 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Data
     head = F.regexp_extract("text", r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
     parts = F.expr(r"regexp_extract_all(text, r'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*', 0)")
     clean = F.filter(parts, lambda _, i: ~F.exists("spans", lambda x: (x["start"] <= i) & (i < x["end"])))
-    both = keyed.join(
-        found, keyed["row_key"].eqNullSafe(found["row_key"]) & keyed["doc_id"].eqNullSafe(found["doc_id"]), "left"
-    ).select(*[keyed[name] for name in docs.columns], "spans")
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(head, F.array_join(clean, "")))
-    return both.withColumn("text", text).drop("spans")
+    both = keyed.join(found, _same(keyed, found), "left").withColumn("cleaned", text)
+    return both.select(*[F.col("cleaned").alias(c) if c == "text" else F.col(f"whole.`{c}`") for c in docs.columns])

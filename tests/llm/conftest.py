@@ -1,0 +1,17 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """A documents table of (doc_id, text) pairs."""
+
+    def make(rows):
+        full = [(doc_id, text, "en", "src", len(text or "")) for doc_id, text in rows]
+        return spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long")
+
+    return make
