@@ -47,7 +47,7 @@ MARKS = frozenset(
 HOLDERS = frozenset(("article", "main"))
 
 #: Weights before any page is seen, and the bounds of learned ones.
-WORD, LINK_WORD, TAG = 1.0, -0.5, -0.5
+WORD, LINK_WORD, BLOCK_TAG, INLINE_TAG = 1.0, -0.5, -0.5, -0.1
 LOWEST_TAG, MOST_KINDS = -8.0, 256
 
 
@@ -153,6 +153,10 @@ def _excluded(element: Element, in_holder: bool) -> bool:
     return element.marked and not element.holds and element.name not in ("html", "body", *HOLDERS)
 
 
+def _tag_weight(name: str) -> float:
+    return BLOCK_TAG if name in BLOCKS else INLINE_TAG
+
+
 def scored_events(page: Page, weights: dict[str, float]) -> list[tuple[int, float, bool]]:
     """(place, score, inside a holder) of every event that may be article; a text scores by its words."""
     out, skipped, holders, links = [], 0, 0, 0
@@ -163,12 +167,12 @@ def scored_events(page: Page, weights: dict[str, float]) -> list[tuple[int, floa
                 continue
             holders += value.name in HOLDERS
             links += value.link
-            out.append((place, weights.get(value.name, TAG), holders > 0))
+            out.append((place, weights.get(value.name, _tag_weight(value.name)), holders > 0))
         elif kind == "end":
             if skipped:
                 skipped -= 1
                 continue
-            out.append((place, weights.get(value.name, TAG), holders > 0))
+            out.append((place, weights.get(value.name, _tag_weight(value.name)), holders > 0))
             holders -= value.name in HOLDERS
             links -= value.link
         elif not skipped and (words := len(value.split())):
@@ -288,7 +292,7 @@ def learn_weights(pages: DataFrame) -> dict[str, float]:
         elif kind == "#link":
             weights[kind] = min(WORD, max(-WORD, -odds)) if a + b >= 100 else LINK_WORD
         else:
-            weights[kind] = max(LOWEST_TAG, TAG - max(0.0, odds))
+            weights[kind] = max(LOWEST_TAG, _tag_weight(kind) - max(0.0, odds))
     return weights
 
 
