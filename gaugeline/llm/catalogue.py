@@ -83,6 +83,43 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 ORACLES: dict[str, str] = {
+    "op2_near_duplicates": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) < 2 THEN w
+      ELSE list_transform(list_zip(w[:-2], w[2:]), lambda p: p[1] || ' ' || p[2]) END) AS s
+    FROM words)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+pairs AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * i >= 80 * (p.n + q.n - i)),
+links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+lowest AS (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id,
+  doc_id <= coalesce(y, doc_id) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)""",
+    "op4_near_vectors": r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+lowest AS (SELECT x AS vec_id, min(y) AS y FROM reach GROUP BY 1),
+degrees AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(y, vec_id)) AS component_id,
+  vec_id <= coalesce(y, vec_id) AS kept
+FROM embeddings LEFT JOIN degrees USING (vec_id) LEFT JOIN lowest USING (vec_id)""",
     "op3_tool_calls": r"""
 WITH calls AS (
   SELECT conv_id, 'turn-' || turn AS call_id, turn, text FROM conversations WHERE role = 'user'),
