@@ -54,6 +54,25 @@ def is_whole_json(text: Column) -> Column:
     return F.coalesce(F.size(as_list(listed)) == 1, F.lit(False)) & wrapped.isNotNull()
 
 
+def parse_document(text: Column) -> Column:
+    """A JSON text as a variant, null where it cannot be read.
+
+    Where an object repeats a member name, the last one counts. Only objects
+    that Spark refuses are read a second time; a name repeated below the top
+    level stays unreadable.
+    """
+    pairs = F.map_entries(F.from_json(text, "map<string,variant>"))
+    last = F.filter(
+        pairs,
+        lambda pair, place: ~F.exists(
+            F.slice(pairs, place + 2, F.size(pairs)), lambda later: later["key"] == pair["key"]
+        ),
+    )
+    whole = text.rlike(r"^\s*\{") & text.rlike(r"\}\s*$") & F.json_object_keys(text).isNotNull()
+    again = F.when(whole, F.to_variant_object(F.map_from_entries(last)))
+    return F.coalesce(F.try_parse_json(text), again)
+
+
 def as_map(value: Column, path: str = "$") -> Column:
     """The members of a variant object, null for any other value."""
     return F.try_variant_get(value, path, "map<string,variant>")
@@ -66,7 +85,7 @@ def as_list(value: Column) -> Column:
 
 def members(document: Column) -> Column:
     """The members of a JSON object in a text column."""
-    return as_map(F.try_parse_json(document))
+    return as_map(parse_document(document))
 
 
 def kind(value: Column) -> Column:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm.components import connected_components
@@ -17,10 +18,14 @@ from gaugeline.llm.storage import stored
 #: A pair at the limit of 0.8 agrees in a band of 5 with 0.33 and misses all 32 bands in 3 of a million cases.
 BANDS, BAND_ROWS = 32, 5
 PERCENT = 80
-#: Rounds of pivots before the pairs that are left are checked one by one.
+#: Bits of each sketch value that are kept to estimate a pair's similarity, 16 values in a number.
+MARK_BITS = 4
+#: Standard deviations that a pair's agreement may lie below its mean at the limit; 1 in 50 million lies lower.
+MARK_DEVIATIONS = 5.5
+#: Rounds of pivots before the pairs that are left are compared one by one.
 PIVOT_ROUNDS = 6
 #: Pairs left, in multiples of the bucket rows, up to which no further round of pivots is worthwhile.
-REST_FACTOR = 2
+REST_FACTOR = 500
 
 
 def similarity_sketch(codes: np.ndarray, size: int = BANDS * BAND_ROWS) -> np.ndarray:
@@ -59,31 +64,54 @@ def band_keys(sketch: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     return key
 
 
+def sketch_marks(sketch: np.ndarray) -> np.ndarray:
+    """The last MARK_BITS bits of every sketch value, packed."""
+    low = (sketch & np.uint64((1 << MARK_BITS) - 1)).reshape(-1, 64 // MARK_BITS)
+    return (low << (np.arange(64 // MARK_BITS, dtype=np.uint64) * np.uint64(MARK_BITS))).sum(axis=1, dtype=np.uint64)
+
+
+def may_be_similar(a: Column, b: Column, percent: int = PERCENT) -> Column:
+    """Whether two sets' marks agree as often as those of similar sets do but for rare chance."""
+    size = BANDS * BAND_ROWS
+    agree = percent / 100 + (1 - percent / 100) / (1 << MARK_BITS)
+    least = ceil(size * agree - MARK_DEVIATIONS * sqrt(size * agree * (1 - agree)))
+    ones = int("1" * (64 // MARK_BITS), 1 << MARK_BITS)
+    differ = F.lit(0)
+    for k in range(size * MARK_BITS // 64):
+        x = a[k].bitwiseXOR(b[k])
+        for step in (2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, step))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(ones)))
+    return differ <= size - least
+
+
 def sketch_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, content, bands): content names the set; both are null for an empty set."""
+    """(doc_id, n_shingles, content, bands, marks): content names the set; null but for the first two if it is empty."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                sizes, contents, bands = [], [], []
+                sizes, contents, bands, marks = [], [], [], []
                 for text in part.column(1).to_pylist():
                     own = shingle_codes(words_of(text), codes)
                     sizes.append(len(own))
                     if len(own):
                         contents.append(blake2b(own.tobytes(), digest_size=16).digest())
-                        bands.append(band_keys(similarity_sketch(own)).view(np.int64))
+                        sketch = similarity_sketch(own)
+                        bands.append(band_keys(sketch).view(np.int64))
+                        marks.append(sketch_marks(sketch).view(np.int64))
                     else:
-                        contents.append(None)
-                        bands.append(None)
+                        for column in (contents, bands, marks):
+                            column.append(None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(contents, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "content", "bands"],
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(contents, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in (bands, marks))],
+                    names=["doc_id", "n_shingles", "content", "bands", "marks"],
                 )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, content binary, bands array<long>"
+        sketch, "doc_id long, n_shingles long, content binary, bands array<long>, marks array<long>"
     )
 
 
@@ -125,21 +153,22 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> Data
 
 
 def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(node, component) of all classes (node, n_shingles, bands) that are linked with another.
+    """(node, component) of all classes (node, n_shingles, bands, marks) that are linked with another.
 
     Members of a bucket are compared with one pivot, the member that shares
     most buckets with others, instead of with each other. That ties a group of
     copies together in a round. What the tied groups of a bucket leave open
     are pairs across its components: they get further pivots while there are
-    many, and are then all checked, so that no link between components is lost.
+    very many, and are then all compared by their marks, so that no link between
+    components is lost. Whatever passes the marks is checked on its full sets.
     """
-    rows = classes.select("node", "n_shingles", F.explode("bands").alias("key"))
+    rows = classes.select("node", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = stored(rows.join(shared, "key").select("key", "node", "n_shingles", "size"), "buckets")
+    buckets = stored(rows.join(shared, "key").select("key", "node", "size"), "buckets")
     degree = buckets.groupBy("node").agg(F.sum("size").alias("degree"))
-    buckets = stored(buckets.drop("size").join(degree, "node"), "buckets-ranked")
+    known = classes.select("node", "n_shingles", "marks")
+    buckets = stored(buckets.drop("size").join(degree.join(known, "node"), "node"), "buckets-ranked")
     bucket_rows = buckets.count()
-    similar = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     empty = docs.sparkSession.createDataFrame([], "a long, b long")
     links, tested, found = empty, empty, docs.sparkSession.createDataFrame([], "node long, component long")
     open_rows = buckets.withColumn("component", F.col("node"))
@@ -150,30 +179,35 @@ def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> D
             labelled = buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
             parts = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
             main = parts.groupBy("key").agg(
-                F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("k"), F.sum("n").alias("m"), F.max("n").alias("most")
+                F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("k"), F.sum("n").alias("m")
             )
-            open_rows = stored(labelled.join(main.where("k > 1"), "key"), "open")
-            rest = open_rows.groupBy("key").agg(F.first("m").alias("m"), F.first("most").alias("most"))
-            size = rest.agg(F.coalesce(F.sum((F.col("m") - F.col("most")) * F.col("m")), F.lit(0))).first()[0]
+            main = stored(main.where("k > 1").select("key", "m", F.col("top.component").alias("main"), F.col("top.n").alias("most")), "main")
+            size = main.agg(F.coalesce(F.sum((F.col("m") - F.col("most")) * F.col("m")), F.lit(0))).first()[0]
             if not size:
                 break
             last = last or size <= REST_FACTOR * bucket_rows
-        members = open_rows.select("key", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("component_a"))
+            open_rows = stored(labelled.join(main.select("key", "main"), "key"), "open")
+        columns = ["node", "n_shingles", "marks", "component"]
         if last:
             others = open_rows.where(F.col("component") != F.col("main"))
         else:
-            score = F.struct("degree", -F.col("node"), "node", "n_shingles", "component")
             candidates = open_rows.where(F.col("component") != F.col("main")) if turn else open_rows
             if turn:  # a node that was a pivot has met all of its bucket
                 candidates = candidates.join(tested.select(F.col("b").alias("node")).distinct(), "node", "left_anti")
-            others = candidates.groupBy("key").agg(F.max(score).alias("top")).select("key", "top.*")
-        others = others.select("key", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("component_b"))
-        pairs = members.join(others, "key").where((F.col("component_a") != F.col("component_b")) & similar)
-        pairs = pairs.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
+            top = candidates.groupBy("key").agg(F.max(F.struct("degree", -F.col("node"), "node")).alias("top"))
+            others = candidates.join(top.select("key", F.col("top.node").alias("node")), ["key", "node"])
+        members = open_rows.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
+        others = others.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
+        close = 100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b")
+        apart = F.col("component_a") != F.col("component_b")
+        pairs = members.join(others, "key").where(apart & close & may_be_similar(F.col("marks_a"), F.col("marks_b"), percent))
+        pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti") if turn else pairs, "pairs")
         tested = tested.union(pairs)
-        links = links.union(stored(confirmed(pairs, docs, percent), "confirmed"))
-        found = connected_components(links)
+        fresh = stored(confirmed(pairs, docs, percent), "confirmed")
+        if not fresh.isEmpty():
+            links = links.union(fresh)
+            found = connected_components(links)
         if last:
             break
     return found
@@ -192,7 +226,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sketches = stored(sketch_documents(docs), "sketches")
     filled = sketches.where(F.col("content").isNotNull() & F.col("doc_id").isNotNull())
     classes = filled.groupBy("content").agg(
-        F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands")
+        F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands"), F.any_value("marks").alias("marks")
     )
     classes = stored(classes, "classes")
     found = find_links(classes, docs, percent)
@@ -211,7 +245,11 @@ def remove_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     result = stored(near_duplicates(docs, percent), "near-duplicates")
     lost = result.where(~F.col("kept")).select("doc_id").distinct()
     twice = result.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
-    single = docs.join(lost.union(twice), "doc_id", "left_anti")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    repeated = docs.join(twice, "doc_id", "left_semi").withColumn("_turn", F.row_number().over(order)).where("_turn = 1").drop("_turn")
-    return single.select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    whole = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
+    )
+    single = whole.join(lost.union(twice), "doc_id", "left_anti")
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    repeated = whole.join(twice, "doc_id", "left_semi").withColumn("turn", turn).where("turn = 1")
+    return single.select("whole.*").unionByName(repeated.select("whole.*"))

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.documents import as_list, as_map, kind
+from gaugeline.functions.documents import as_list, as_map, kind, parse_document
 from gaugeline.functions.staging import staged
 
 TOPIC_PREFIX = "telemetry.raw"
@@ -36,7 +36,7 @@ def normalize_payload(documents: DataFrame, column: str = "document") -> DataFra
 
     All steps are per row, so the job needs no shuffle.
     """
-    rows = staged(documents, _value=F.try_parse_json(column))
+    rows = staged(documents, _value=parse_document(F.col(column)))
     rows = staged(rows, _list=as_list(F.col("_value")), _root=as_map(F.col("_value")))
     rows = staged(
         rows,
@@ -91,6 +91,24 @@ def normalize_payload(documents: DataFrame, column: str = "document") -> DataFra
     return rows.select(*documents.columns, F.posexplode(records).alias("position", "record"))
 
 
+def rejected_documents(documents: DataFrame, column: str = "document") -> DataFrame:
+    """The documents that give no record, with a reason.
+
+    * ``no text``: null or blank;
+    * ``no JSON``: not readable, repeated names below the top level included;
+    * ``no object``: a scalar, or a list without objects.
+    """
+    rows = staged(documents, _value=parse_document(F.col(column)))
+    rows = staged(rows, _list=as_list(F.col("_value")), _root=as_map(F.col("_value")))
+    objects = F.exists("_list", lambda item: kind(item) == "OBJECT")
+    reason = (
+        F.when(F.coalesce(F.trim(column), F.lit("")) == "", "no text")
+        .when(F.col("_value").isNull(), "no JSON")
+        .when(F.col("_root").isNull() & ~F.coalesce(objects, F.lit(False)), "no object")
+    )
+    return rows.withColumn("reason", reason).filter("reason IS NOT NULL").select(*documents.columns, "reason")
+
+
 def build_envelopes(
     records: DataFrame,
     event_id: Column | None = None,

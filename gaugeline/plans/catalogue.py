@@ -104,9 +104,21 @@ def _quarantined(rows: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def _payload_members(rows: DataFrame) -> DataFrame:
+    """The members of the stored payload instead of its text, whose number format differs by engine."""
+    member = lambda name, kind: F.get_json_object("payload", f"$.{name}").cast(kind)
+    return rows.withColumns(
+        {
+            "payload_id": member("id", "bigint"),
+            "payload_temperature": member("temperature", "double"),
+            "payload_humidity": member("humidity", "double"),
+        }
+    ).drop("payload")
+
+
 @query
 def processed_records(lens: EventsLens) -> DataFrame:
-    return lens.records.drop("payload")
+    return _payload_members(lens.records)
 
 
 @query
@@ -164,6 +176,12 @@ def normalize_payload(lens: EventsLens) -> DataFrame:
     )
 
 
+@query
+def normalize_rejects(lens: EventsLens) -> DataFrame:
+    """Documents without a record, and why."""
+    return normalize.rejected_documents(lens.odd_documents).select("source", "event_id", "reason")
+
+
 @query
 def envelope_build(lens: EventsLens) -> DataFrame:
     records = lens.events.select(
@@ -200,7 +218,7 @@ def infer_schema(lens: EventsLens) -> DataFrame:
 @query
 def dedup_events(lens: EventsLens) -> DataFrame:
     records = lens.records_of(lens.both_logs)
-    return first_per_key(records, ["event_id"], ["ingested_at", "payload"]).drop("payload")
+    return _payload_members(first_per_key(records, ["event_id"], ["ingested_at", "payload"]))
 
 
 def _batches(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -211,7 +229,7 @@ def _batches(first: DataFrame, second: DataFrame) -> DataFrame:
 def upsert_records(lens: EventsLens) -> DataFrame:
     log = _batches(lens.records, lens.records_of(lens.second_log))
     merged = merge_batches(log, schema.RECORD_KEYS, schema.RECORD_FROZEN, schema.RECORD_MUTABLE)
-    return merged.drop("payload")
+    return _payload_members(merged)
 
 
 def _upserted_aggregates(lens: EventsLens) -> DataFrame:
@@ -348,6 +366,16 @@ def classify_fields(lens: EventsLens) -> DataFrame:
     return analytics.classify_fields(lens.recent)
 
 
+@query
+def classify_fields_repeated_names(lens: EventsLens) -> DataFrame:
+    return analytics.classify_fields(lens.repeated_names)
+
+
+@query
+def metric_summary_repeated_names(lens: EventsLens) -> DataFrame:
+    return analytics.metric_summary(lens.repeated_names, exact_id=True)
+
+
 @query
 def metric_summary(lens: EventsLens) -> DataFrame:
     return analytics.metric_summary(lens.recent)
@@ -367,13 +395,7 @@ def iqr_anomalies(lens: EventsLens) -> DataFrame:
 @query
 def half_trend(lens: EventsLens) -> DataFrame:
     metrics = analytics.metric_values(lens.recent, exact_id=True).filter("is_metric")
-    change = analytics.half_change(F.col("values"))
-    return metrics.select(
-        "source",
-        "field",
-        analytics.trend_direction(change).alias("direction"),
-        F.round(F.coalesce(change, F.lit(0.0)), 1).alias("percentage"),
-    )
+    return analytics.summarize_metrics(metrics).select("source", "field", "direction", "percentage")
 
 
 @query
@@ -441,7 +463,7 @@ def check_quality_rate(lens: EventsLens) -> DataFrame:
 
 @query
 def retention_purge(lens: EventsLens) -> DataFrame:
-    return checks.retain_recent(lens.records, as_of()).drop("payload")
+    return _payload_members(checks.retain_recent(lens.records, as_of()))
 
 
 @query
@@ -486,7 +508,7 @@ def stream_quarantine(lens: EventsLens) -> DataFrame:
 def stream_records(lens: EventsLens) -> DataFrame:
     app = _streamed(lens, lens.both_logs)
     app.start_landing(["records"]).awaitTermination()
-    return app.records.latest().drop("payload")
+    return _payload_members(app.records.latest())
 
 
 @query

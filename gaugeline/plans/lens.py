@@ -2,8 +2,8 @@
 
 Each event becomes an envelope as JSON text. Fixed shares of the events get a
 malformed id, no id, a broken payload or a non-numeric field, so every rule has
-rows to act on. A second batch repeats one event in fifty a minute later with
-another temperature.
+rows to act on. A second batch repeats every event a minute later with another
+temperature.
 """
 
 from functools import cached_property
@@ -75,8 +75,7 @@ class EventsLens:
 
     @cached_property
     def second_log(self) -> DataFrame:
-        repeated = self.events.filter(F.col("event_id") % 50 == 0)
-        return self._envelopes(repeated, 1.0, "1 minute")
+        return self._envelopes(self.events, 1.0, "1 minute")
 
     @cached_property
     def both_logs(self) -> DataFrame:
@@ -136,7 +135,11 @@ class EventsLens:
 
     @cached_property
     def documents(self) -> DataFrame:
-        """API responses: the events of a source in runs of 20 ids, in four shapes."""
+        """API responses: the events of a source in runs of 20 ids, in four shapes.
+
+        Three shapes hold a run each; in the fourth, every event is a document
+        of its own, which repeats a name.
+        """
         run = F.floor(F.col("event_id") / DOCUMENT_ROWS).cast("bigint")
         rows = F.sort_array(
             F.collect_list(
@@ -149,10 +152,36 @@ class EventsLens:
         batch = F.col("run").alias("batch")
         lists = [F.col("rows.id").alias("id"), F.col("rows.temperature").alias("temperature")]
         shape = F.pmod("run", F.lit(4))
-        document = (
+        whole = (
             F.when(shape == 0, F.to_json(F.struct(batch, *lists)))
             .when(shape == 1, F.to_json(F.struct(batch, F.struct(*lists).alias("hourly"))))
-            .when(shape == 2, F.to_json("rows"))
-            .otherwise(F.to_json(F.struct(batch, F.get("rows", F.lit(0)).alias("first"))))
+            .otherwise(F.to_json("rows"))
+        )
+        apart = F.transform(
+            "rows",
+            lambda row: F.concat(F.lit('{"batch":-1,'), F.substr(F.to_json(F.struct(batch, row.alias("first"))), F.lit(2))),
         )
-        return grouped.select("source", "run", document.alias("document"))
+        documents = F.when(shape == 3, apart).otherwise(F.array(whole))
+        return grouped.select("source", "run", F.explode(documents).alias("document"))
+
+    @cached_property
+    def odd_documents(self) -> DataFrame:
+        """Every event as a response that gives no record in six of seven cases."""
+        number = F.pmod("event_id", F.lit(7))
+        text = F.col("event_id").cast("string")
+        document = (
+            F.when(number == 0, F.lit(None).cast("string"))
+            .when(number == 1, F.lit("  "))
+            .when(number == 2, F.concat(F.lit('{"id":'), text))
+            .when(number == 3, text)
+            .when(number == 4, F.concat(F.lit("["), text, F.lit("]")))
+            .when(number == 5, F.concat(F.lit('{"a":{"id":1,"id":'), text, F.lit("}}")))
+            .otherwise(F.concat(F.lit('{"id":0,"id":'), text, F.lit("}")))
+        )
+        return self.events.select(F.col("event_type").alias("source"), "event_id", document.alias("document"))
+
+    @cached_property
+    def repeated_names(self) -> DataFrame:
+        """Records whose payload names its temperature twice, first with a text."""
+        payload = F.concat(F.lit('{"temperature":"old",'), F.substr("payload", F.lit(2)))
+        return self.recent.withColumn("payload", payload)

@@ -13,7 +13,6 @@ def _log(name: str, second: bool) -> str:
     """Flag columns of one log as common table expressions ``<name>_env`` and ``<name>``."""
     warmer = " + 1" if second else ""
     later = " + INTERVAL 1 MINUTE" if second else ""
-    where = "WHERE event_id % 50 = 0" if second else ""
     return f"""
 {name}_env AS (
   SELECT event_id AS n, event_type AS source, ts, ts{later} AS ingested_ts,
@@ -23,7 +22,7 @@ def _log(name: str, second: bool) -> str:
     CASE WHEN event_id % 103 = 0 THEN 'broken' WHEN event_id % 107 = 0 THEN 'text'
          ELSE 'full' END AS shape,
     value - 60{warmer} AS temperature, CAST(user_id AS DOUBLE) AS humidity
-  FROM events {where}),
+  FROM events),
 {name}_rules AS (
   SELECT *, event_id IS NULL AS is_null_violation,
     event_id = 'bad-id' AS is_format_violation,
@@ -141,6 +140,8 @@ registry AS (
 RECORD_COLUMNS = """event_id, source, ingested_at, record_id, event_timestamp,
   round(temperature, 6) AS temperature, round(humidity, 6) AS humidity,
   round(temperature_f, 6) AS temperature_f, processed_at"""
+PAYLOAD_COLUMNS = """record_id AS payload_id, round(temperature, 6) AS payload_temperature,
+  round(humidity, 6) AS payload_humidity"""
 AGGREGATE_COLUMNS = """source, window_start, window_end, round(avg_temperature, 6) AS avg_temperature,
   round(avg_humidity, 6) AS avg_humidity, record_count"""
 METRIC_COLUMNS = """source, run_timestamp, total_records, valid_records, invalid_records,
@@ -185,10 +186,13 @@ _UPSERTED_RECORDS = f"""WITH {BOTH_RECORDS} SELECT event_id,
   round(coalesce(b.temperature, a.temperature), 6) AS temperature,
   round(coalesce(b.humidity, a.humidity), 6) AS humidity,
   round(coalesce(a.temperature_f, b.temperature_f), 6) AS temperature_f,
-  coalesce(b.processed_at, a.processed_at) AS processed_at
+  coalesce(b.processed_at, a.processed_at) AS processed_at,
+  coalesce(b.record_id, a.record_id) AS payload_id,
+  round(coalesce(b.temperature, a.temperature), 6) AS payload_temperature,
+  round(coalesce(b.humidity, a.humidity), 6) AS payload_humidity
   FROM records a FULL JOIN late_records b USING (event_id)"""
 _FIRST_RECORDS = f"""WITH {BOTH_RECORDS}, sent AS (FROM records UNION ALL FROM late_records)
-SELECT {RECORD_COLUMNS} FROM (
+SELECT {RECORD_COLUMNS}, {PAYLOAD_COLUMNS} FROM (
   SELECT * FROM sent QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingested_at) = 1)"""
 _AGGREGATES = f"WITH {AGGREGATES} SELECT {AGGREGATE_COLUMNS} FROM aggregates"
 _METRICS = f"WITH {METRICS} SELECT {METRIC_COLUMNS} FROM metrics"
@@ -208,7 +212,7 @@ ORACLES = {
         CASE WHEN is_null_violation THEN 'null' END, CASE WHEN is_format_violation THEN 'format' END,
         CASE WHEN NOT is_json_valid THEN 'json' END,
         CASE WHEN is_range_violation THEN 'range' END) AS reason FROM log WHERE NOT is_valid""",
-    "processed_records": f"WITH {RECORDS} SELECT {RECORD_COLUMNS} FROM records",
+    "processed_records": f"WITH {RECORDS} SELECT {RECORD_COLUMNS}, {PAYLOAD_COLUMNS} FROM records",
     "raw_partitions": _RAW,
     "lake_read": f"WITH {LOG} SELECT {LAKE_COLUMNS} FROM log WHERE source = 'click'",
     "constraint_report": f"""WITH {BOTH_LOGS}, sent AS (
@@ -229,8 +233,10 @@ ORACLES = {
       SELECT source, run, position, id, round(temperature, 6) AS temperature,
         CASE WHEN run % 4 <> 2 THEN run END AS batch, CAST(NULL AS BIGINT) AS first_id
       FROM placed WHERE run % 4 <> 3
-      UNION ALL SELECT source, run, 0, NULL, NULL, run, id FROM placed
-      WHERE run % 4 = 3 AND position = 0""",
+      UNION ALL SELECT source, run, 0, NULL, NULL, run, id FROM placed WHERE run % 4 = 3""",
+    "normalize_rejects": """SELECT event_type AS source, event_id, CASE
+        WHEN event_id % 7 < 2 THEN 'no text' WHEN event_id % 7 IN (2, 5) THEN 'no JSON' ELSE 'no object' END AS reason
+      FROM events WHERE event_id % 7 <> 6""",
     "envelope_build": """SELECT 'telemetry.raw.' || event_type AS topic, event_type AS key,
         CAST(event_id AS VARCHAR) AS event_id, event_type AS source,
         strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ingested_at, event_id AS payload_id,
@@ -313,6 +319,11 @@ ORACLES = {
         unnest(['id', 'timestamp', 'temperature', 'humidity']) AS field,
         unnest(['identifier', 'dimension', 'metric', 'identifier']) AS role
       FROM slice WHERE rank = 1""",
+    "classify_fields_repeated_names": f"""WITH {SLICE} SELECT source,
+        unnest(['id', 'timestamp', 'temperature', 'humidity']) AS field,
+        unnest(['identifier', 'dimension', 'metric', 'identifier']) AS role
+      FROM slice WHERE rank = 1""",
+    "metric_summary_repeated_names": f"WITH {SLICE} SELECT * FROM summary",
     "metric_summary": f"WITH {SLICE} SELECT * FROM summary WHERE field = 'temperature'",
     "metric_summary_exact_id": f"WITH {SLICE} SELECT * FROM summary",
     "iqr_anomalies": f"WITH {SLICE} SELECT source, field, anomalies FROM summary",
@@ -357,7 +368,7 @@ ORACLES = {
     "check_quality_rate": f"""WITH {METRICS} SELECT 'quality_rate' AS check_name, source,
         round({RATE}, 6) AS value, CAST(95 AS DOUBLE) AS threshold, {RATE} >= 95.0 AS passed
       FROM metrics GROUP BY source""",
-    "retention_purge": f"""WITH {RECORDS} SELECT {RECORD_COLUMNS} FROM records
+    "retention_purge": f"""WITH {RECORDS} SELECT {RECORD_COLUMNS}, {PAYLOAD_COLUMNS} FROM records
       WHERE event_timestamp >= {NOW} - INTERVAL 7 DAYS OR event_timestamp IS NULL""",
     "freshness_bucket": f"""WITH {RECORDS}, ages AS (
         SELECT source, epoch({NOW} - max(processed_at)) AS age FROM records GROUP BY source)
