@@ -16,7 +16,7 @@ from gaugeline.operators.checks import (
     keep_recent,
     require_passed,
 )
-from gaugeline.operators.normalize import TOPIC_PREFIX, build_envelopes, normalize_payload
+from gaugeline.operators.normalize import TOPIC_PREFIX, build_envelopes, normalize_payload, rejected_documents
 from gaugeline.operators.registry import active_sources
 from gaugeline.operators.summaries import daily_rollup
 from gaugeline.session import build_session
@@ -26,12 +26,21 @@ from gaugeline.sources.writers import write_kafka, write_text_log
 from gaugeline.streaming.app import TelemetryApp
 
 
+#: Bounds of a micro-batch of the streaming job, and of the tasks that read it.
+MAX_FILES, MAX_OFFSETS = 1000, 5_000_000
+
+
+def active_documents(documents: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """The documents of active sources (of all without a registry)."""
+    if registry is None:
+        return documents
+    names = active_sources(registry).select(F.col("name").alias("source"))
+    return documents.join(names, "source", "left_semi")
+
+
 def ingest(documents: DataFrame, registry: DataFrame | None = None, prefix: str = TOPIC_PREFIX) -> DataFrame:
     """Log messages for the documents of active sources (of all without a registry)."""
-    if registry is not None:
-        names = active_sources(registry).select(F.col("name").alias("source"))
-        documents = documents.join(names, "source", "left_semi")
-    return build_envelopes(normalize_payload(documents), topic_prefix=prefix)
+    return build_envelopes(normalize_payload(active_documents(documents, registry)), topic_prefix=prefix)
 
 
 def daily(spark: SparkSession, root: str, as_of: datetime) -> KeyedTable:
@@ -69,6 +78,9 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--documents", help="folder of landed documents")
     parser.add_argument("--registry", help="Parquet table of sources")
     parser.add_argument("--source", help="source to check")
+    parser.add_argument("--max-files", type=int, default=MAX_FILES, help="files of the log in a micro-batch")
+    parser.add_argument("--max-offsets", type=int, default=MAX_OFFSETS, help="Kafka offsets in a micro-batch")
+    parser.add_argument("--min-partitions", type=int, help="tasks that read a Kafka micro-batch at least")
     parser.add_argument("--once", action="store_true", help="stop when the log is read")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="time of the run, now by default")
     return parser.parse_args()
@@ -83,14 +95,19 @@ def main() -> None:
     root = args.root.rstrip("/")
     if args.job == "ingest":
         registry = read_registry(spark, args.registry) if args.registry else None
-        messages = ingest(landed_documents(spark, args.documents), registry, args.prefix)
+        documents = landed_documents(spark, args.documents)
+        messages = ingest(documents, registry, args.prefix)
         write_kafka(messages, args.kafka) if args.kafka else write_text_log(messages, args.log)
+        rejected = rejected_documents(active_documents(documents, registry))
+        rejected.write.mode("append").parquet(f"{root}/rejected")
     elif args.job == "stream":
         pattern = args.prefix.replace(".", r"\.") + r"\..*"
         trigger = {"availableNow": True} if args.once else {}
         TelemetryApp(
             spark,
-            lambda: kafka_log(spark, args.kafka, pattern) if args.kafka else file_log(spark, args.log),
+            lambda: kafka_log(spark, args.kafka, pattern, args.max_offsets, args.min_partitions)
+            if args.kafka
+            else file_log(spark, args.log, max_files=args.max_files),
             root,
             **trigger,
         ).run()

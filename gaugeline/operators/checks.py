@@ -32,7 +32,8 @@ def check_quality_rate(
     """Whether the overall rate reaches the threshold, for each source or one.
 
     For one source there is always one row; a source without metrics passes
-    unless ``fail_on_empty``.
+    unless ``fail_on_empty``. That also gives a row without a source where
+    there are no metrics at all.
     """
     rates = quality_summary(metrics).select("source", F.col("quality_rate").alias("value"))
     if source is not None:
@@ -41,6 +42,9 @@ def check_quality_rate(
             .agg(F.max("value").alias("value"))
             .withColumn("source", F.lit(source))
         )
+    elif fail_on_empty:
+        none = rates.agg(F.count("*").alias("n")).filter("n = 0")
+        rates = rates.unionByName(none.select(F.lit(None).cast("string").alias("source"), F.lit(None).cast("double").alias("value")))
     return rates.select(
         F.lit("quality_rate").alias("check_name"),
         "source",

@@ -48,6 +48,26 @@ def records_page(
     return _page(rows, order, source, limit, offset)
 
 
+def records_page_after(
+    records: DataFrame, source: str, after: tuple[Column, Column], limit: int = schema.PAGE_SIZE
+) -> DataFrame:
+    """The page of a source behind the row with (event_timestamp, event_id) ``after``.
+
+    Its cost does not grow with the depth of the page: the time is a filter
+    that reaches the scan, and each task sends at most ``limit`` rows. Rows
+    without a time come first, so a null time continues among them.
+    """
+    if not 1 <= limit <= schema.PAGE_LIMIT:
+        raise ValueError(f"limit must be between 1 and {schema.PAGE_LIMIT}")
+    moment, event_id = after
+    column = F.col("event_timestamp")
+    older = (column <= moment) & ((column < moment) | (F.col("event_id") > event_id))
+    behind_null = moment.isNull() & (column.isNotNull() | (F.col("event_id") > event_id))
+    rows = records.select("source", *RECORD_COLUMNS).filter(F.col("source") == source)
+    order = _newest("event_timestamp", "event_id")
+    return rows.filter(F.coalesce(older, behind_null)).orderBy(*order).limit(limit)
+
+
 def recent_records(records: DataFrame, source: str | None = None) -> DataFrame:
     """The 20 newest events with their payload."""
     order = _newest("event_timestamp", "event_id")

@@ -31,7 +31,7 @@ def daily_rollup(aggregates: DataFrame, as_of: Column, weighted: bool = False) -
         .agg(
             F.sum("record_count").alias("total_records"),
             *[
-                stable_round(average(name), 2).try_cast("decimal(5,2)").alias(name)
+                stable_round(average(name), 2).cast("decimal(5,2)").alias(name)
                 for name in ("avg_temperature", "avg_humidity")
             ],
         )

@@ -12,7 +12,7 @@ from gaugeline.operators.parse import parse_envelopes, raw_lake_rows
 from gaugeline.operators.ranking import first_per_key
 from gaugeline.operators.upsert import merge_batches
 from gaugeline.operators.windows import count_duplicates
-from gaugeline.plans.lens import EventsLens, as_of, processing_time
+from gaugeline.plans.lens import PAGE_AFTER, EventsLens, as_of, processing_time
 from gaugeline.session import work_folder
 from gaugeline.sources.readers import file_log, read_lake
 from gaugeline.sources.writers import write_lake, write_text_log
@@ -139,7 +139,7 @@ def lake_read(lens: EventsLens) -> DataFrame:
     rows = raw_lake_rows(parse_envelopes(lens.first_log))
     tasks = lens.spark.sparkContext.defaultParallelism
     write_lake(rows, path, schema.LAKE_PARTITIONS, tasks=tasks, split_on="raw_value")
-    return _located(read_lake(lens.spark, path, source="click"))
+    return _located(read_lake(lens.spark, path, schema.RAW_LAKE, source="click"))
 
 
 @query
@@ -150,15 +150,28 @@ def constraint_report(lens: EventsLens) -> DataFrame:
         F.col("ingested_ts").alias("ingested_at"),
         F.col("payload_temperature").try_cast("double").alias("temperature"),
         F.col("payload_humidity").try_cast("double").alias("humidity"),
-    )
+    ).withColumn("processed_at", F.when(F.col("event_id") != "bad-id", as_of()))
     return quality.constraint_report(
         rows,
         keys=["event_id"],
-        required=["event_id", "source", "ingested_at"],
+        required=["event_id", "source", "ingested_at", "processed_at"],
         ranges={"temperature": schema.TEMPERATURE_RANGE, "humidity": schema.HUMIDITY_RANGE},
     )
 
 
+@query
+def constraint_report_aggregates(lens: EventsLens) -> DataFrame:
+    """Windows of both batches, so that every window stands there twice."""
+    rows = lens.aggregates.unionAll(lens.aggregates_of(lens.second_log))
+    return quality.constraint_report(rows, keys=schema.AGGREGATE_KEYS, required=["source", "window_start", "window_end"])
+
+
+@query
+def constraint_report_metrics(lens: EventsLens) -> DataFrame:
+    rows = lens.metrics.unionAll(lens.metrics_of(lens.second_log))
+    return quality.constraint_report(rows, keys=schema.METRIC_KEYS, required=["source", "run_timestamp"])
+
+
 # Documents and envelopes
 
 
@@ -416,6 +429,13 @@ def records_page_one_source(lens: EventsLens) -> DataFrame:
     return pages.records_page(lens.records, source="click", limit=20, offset=5)
 
 
+@query
+def records_page_after(lens: EventsLens) -> DataFrame:
+    """The page that follows a given row of one source."""
+    after = (F.lit(PAGE_AFTER[0]).cast("timestamp"), F.lit(PAGE_AFTER[1]))
+    return pages.records_page_after(lens.records, "click", after)
+
+
 @query
 def recent_records(lens: EventsLens) -> DataFrame:
     temperature = F.get_json_object("payload", "$.temperature").cast("double")

@@ -17,6 +17,7 @@ from gaugeline.operators.quality import flag_quality, valid_rows
 from gaugeline.operators.windows import quality_windows, telemetry_windows
 
 AS_OF = "2024-01-30 23:59:59"
+PAGE_AFTER = ("2024-01-15 12:00:00", "00000000-0000-4000-8000-000000000000")
 DOCUMENT_ROWS = 20
 
 

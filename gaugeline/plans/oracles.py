@@ -4,7 +4,7 @@ Each statement restates a query from the numbers of the events, so parsing,
 rules and aggregation are checked against an independent computation.
 """
 
-from gaugeline.plans.lens import AS_OF, DOCUMENT_ROWS
+from gaugeline.plans.lens import AS_OF, DOCUMENT_ROWS, PAGE_AFTER
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 
@@ -223,8 +223,20 @@ ORACLES = {
         WHERE temperature < -50 OR temperature > 100
       UNION ALL SELECT 'range_humidity', count(*) FROM full_rows WHERE humidity < 0 OR humidity > 100
       UNION ALL SELECT 'not_null_event_id', count(*) FROM sent WHERE event_id IS NULL
+      UNION ALL SELECT 'not_null_processed_at', count(*) FILTER (event_id IS NULL OR event_id = 'bad-id') FROM sent
       UNION ALL SELECT 'not_null_source', 0 UNION ALL SELECT 'not_null_ingested_at', 0
       UNION ALL SELECT 'unique_event_id', count(event_id) - count(DISTINCT event_id) FROM sent""",
+    "constraint_report_aggregates": f"""WITH {BOTH_AGGREGATES}, sent AS (
+        SELECT source, window_start FROM aggregates UNION ALL SELECT source, window_start FROM late_aggregates)
+      SELECT 'unique_source_window_start' AS rule,
+        count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM sent)) AS violations FROM sent
+      UNION ALL SELECT unnest(['not_null_source', 'not_null_window_start', 'not_null_window_end']), 0""",
+    "constraint_report_metrics": f"""WITH {BOTH_LOGS}, {_metrics('metrics', 'log')},
+      {_metrics('late_metrics', 'late')}, sent AS (
+        SELECT source, run_timestamp FROM metrics UNION ALL SELECT source, run_timestamp FROM late_metrics)
+      SELECT 'unique_source_run_timestamp' AS rule,
+        count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM sent)) AS violations FROM sent
+      UNION ALL SELECT unnest(['not_null_source', 'not_null_run_timestamp']), 0""",
     "normalize_payload": f"""WITH placed AS (
         SELECT event_type AS source, event_id // {DOCUMENT_ROWS} AS run, event_id AS id,
           value - 60 AS temperature, row_number() OVER (
@@ -342,6 +354,10 @@ ORACLES = {
       FROM {_page('records', 'event_timestamp DESC NULLS FIRST, event_id')}""",
     "records_page_one_source": f"""WITH {RECORDS} SELECT {RECORD_COLUMNS} FROM records
       WHERE source = 'click' ORDER BY event_timestamp DESC NULLS FIRST, event_id LIMIT 20 OFFSET 5""",
+    "records_page_after": f"""WITH {RECORDS} SELECT {RECORD_COLUMNS} FROM records
+      WHERE source = 'click' AND (event_timestamp < TIMESTAMP '{PAGE_AFTER[0]}'
+        OR event_timestamp = TIMESTAMP '{PAGE_AFTER[0]}' AND event_id > '{PAGE_AFTER[1]}')
+      ORDER BY event_timestamp DESC NULLS FIRST, event_id LIMIT 20""",
     "recent_records": f"""WITH {RECORDS} SELECT source, event_id, event_timestamp,
         round(temperature, 6) AS temperature, round(humidity, 6) AS humidity,
         round(temperature, 6) AS payload_temperature FROM records

@@ -26,6 +26,8 @@ REGISTRY = (
     "status STRING, created_at TIMESTAMP, updated_at TIMESTAMP"
 )
 
+RAW_LAKE = "source STRING, raw_value STRING, year INT, month INT, day INT, hour INT"
+
 LAKE_PARTITIONS = ["source", "year", "month", "day", "hour"]
 TIME_PARTITIONS = ["year", "month", "day", "hour"]
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gaugeline import schema
 from gaugeline.operators.ranking import first_per_key
 from gaugeline.operators.upsert import merge_batches, merge_into_base
+from gaugeline.sources.folders import numbered, remove
 from gaugeline.sources.writers import write_batch
 
 
@@ -55,7 +56,8 @@ class KeyedTable:
     ``upsert`` writes a batch to ``log/batch_id=N``, so a replayed batch
     replaces itself. ``latest`` merges the batches newer than the base into it.
     ``compact`` writes a new base version and then names it in the manifest; an
-    interrupted compaction leaves the old base in force.
+    interrupted compaction leaves the old base in force. What a new base
+    replaces is removed: the folded batches and all bases before the last one.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec):
@@ -74,19 +76,20 @@ class KeyedTable:
         return self._merged(version, up_to, None)
 
     def last_batch(self) -> int:
-        """The highest batch in the log, -1 if there is none; from the folder names."""
-        log = self._read("log", f"{self.spec.columns}, batch_id BIGINT")
-        return log.agg(F.coalesce(F.max("batch_id"), F.lit(-1)).alias("last")).first().last
+        """The highest batch that was written to its end, -1 if there is none; from the folder names."""
+        batches = numbered(self.spark, f"{self.path}/log", "batch_id")
+        return max((number for number, done in batches.items() if done), default=-1)
 
     def compact(self, up_to: int | None = None, keep: Column | None = None) -> None:
         """Fold the batches up to ``up_to`` into a new base, keeping rows that match ``keep``.
 
-        By default all but the last batch, which a running stream may still be
-        writing.
+        By default all batches that were written to their end; the one that a
+        running stream is writing has no end yet. A replay of a folded batch is
+        passed over, since its rows are in the base.
         """
         version, folded = self._current()
         if up_to is None:
-            up_to = max(folded, self.last_batch() - 1)
+            up_to = max(folded, self.last_batch())
         if up_to < folded:
             raise ValueError(f"batches up to {folded} are folded already")
         rows = self._merged(version, folded, up_to)
@@ -97,6 +100,12 @@ class KeyedTable:
             F.lit(version + 1).cast("bigint").alias("version"), F.lit(up_to).cast("bigint").alias("up_to")
         )
         entry.write.mode("overwrite").parquet(f"{self.path}/manifest/entry={version + 1}")
+        for batch in numbered(self.spark, f"{self.path}/log", "batch_id"):
+            if batch <= up_to:
+                remove(self.spark, f"{self.path}/log/batch_id={batch}")
+        for base in numbered(self.spark, f"{self.path}/base", "version"):
+            if base < version:  # the one before the new base may still be read
+                remove(self.spark, f"{self.path}/base/version={base}")
 
     def _merged(self, version: int, folded: int, up_to: int | None) -> DataFrame:
         spec = self.spec

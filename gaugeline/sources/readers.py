@@ -56,10 +56,13 @@ def landed_documents(spark: SparkSession, path: str, streaming: bool = False) ->
     return files.select("source", F.col("value").alias("document"))
 
 
-def read_lake(spark: SparkSession, path: str, layout: str | None = None, **where) -> DataFrame:
-    """A Parquet table; ``where`` fixes partition columns, so other folders are not listed into tasks."""
-    reader = spark.read.schema(layout) if layout else spark.read
-    rows = reader.parquet(path)
+def read_lake(spark: SparkSession, path: str, layout: str, **where) -> DataFrame:
+    """A Parquet table; ``where`` fixes partition columns, so other folders are not listed into tasks.
+
+    The layout names the partition columns too: guessed from folder names, a
+    source ``007`` would become a number.
+    """
+    rows = spark.read.schema(layout).parquet(path)
     for column, value in where.items():
         rows = rows.filter(F.col(column) == value)
     return rows

@@ -55,7 +55,7 @@ class TelemetryApp:
         self.metrics = KeyedTable(spark, f"{self.root}/metrics", METRICS)
 
     def raw(self) -> DataFrame:
-        return self._stored("raw", "source STRING, raw_value STRING, year INT, month INT, day INT, hour INT")
+        return self._stored("raw", schema.RAW_LAKE)
 
     def quarantine(self) -> DataFrame:
         return self._stored("quarantine", "source STRING, raw_value STRING")

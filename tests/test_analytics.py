@@ -243,6 +243,8 @@ def test_checks(spark, records, metrics):
     rates = {r.source: r.passed for r in checks.check_quality_rate(metrics, threshold=50).collect()}
     assert rates == {"big": True, "bad": False}
     assert checks.check_quality_rate(metrics, source="none").first().passed is True
+    none = checks.check_quality_rate(metrics.limit(0), fail_on_empty=True).collect()
+    assert [(r.source, r.passed) for r in none] == [(None, False)]
     checks.require_passed(fresh)
     with pytest.raises(RuntimeError):
         checks.require_passed(checks.check_freshness(records, at("13:00:00")))

@@ -59,11 +59,44 @@ def test_purge(spark, tmp_path):
         row = (f"k{batch}", "s", moment, 1, moment, 1.0, 1.0, 1.0, "{}", moment)
         table.upsert(spark.createDataFrame([row], schema.RECORDS), batch)
     jobs.purge(spark, str(tmp_path), NOON)
-    # the last batch stays in the log
     assert {row.event_id for row in table.latest().collect()} == {"k1", "k2"}
-    assert table.last_batch() == 2
+    assert table.last_batch() == -1
     jobs.purge(spark, str(tmp_path), NOON + timedelta(days=4))
     assert {row.event_id for row in table.latest().collect()} == {"k2"}
+    for _ in range(2):
+        jobs.purge(spark, str(tmp_path), NOON + timedelta(days=4))
+    names = sorted(folder.name for folder in (tmp_path / "records" / "base").iterdir())
+    assert names == ["version=3", "version=4"]
+    assert not list((tmp_path / "records" / "log").glob("batch_id=*"))
+
+
+def test_purge_a_month_after_one_run(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "1.txt").write_text("\n".join(reading(n, minute=n) for n in range(5)))
+    log = lambda: file_log(spark, str(tmp_path / "log"))
+    app = TelemetryApp(spark, log, str(tmp_path / "tables"), availableNow=True)
+    app.start_landing(["records"]).awaitTermination()
+    assert app.records.latest().count() == 5
+    jobs.purge(spark, str(tmp_path / "tables"), NOON + timedelta(days=30))
+    assert app.records.latest().count() == 0
+    stored = [str(file) for file in (tmp_path / "tables" / "records").rglob("*.parquet") if "manifest" not in str(file)]
+    assert sum(spark.read.parquet(file).count() for file in stored) == 0
+    (tmp_path / "log" / "2.txt").write_text(reading(9, minute=50))
+    app.start_landing(["records"]).awaitTermination()
+    assert [row.record_id for row in app.records.latest().collect()] == [9]
+
+
+def test_a_batch_without_its_end_is_not_folded(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "records"), RECORDS)
+    moment = datetime(2026, 8, 1)
+    for batch in range(2):
+        row = (f"k{batch}", "s", moment, 1, moment, 1.0, 1.0, 1.0, "{}", moment)
+        table.upsert(spark.createDataFrame([row], schema.RECORDS), batch)
+    (tmp_path / "records" / "log" / "batch_id=1" / "_SUCCESS").unlink()
+    assert table.last_batch() == 0
+    table.compact()
+    assert {row.event_id for row in table.latest().collect()} == {"k0", "k1"}
+    assert [f.name for f in (tmp_path / "records" / "log").glob("batch_id=*")] == ["batch_id=1"]
 
 
 def test_documents_to_log_to_records(spark, tmp_path):

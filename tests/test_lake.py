@@ -24,14 +24,14 @@ def rows(texts):
 def test_lake_round_trip(spark, rows, tmp_path, options):
     path = str(tmp_path / "lake")
     write_lake(rows, path, schema.LAKE_PARTITIONS, **options)
-    assert read_lake(spark, path).select(*rows.columns).exceptAll(rows).count() == 0
-    assert read_lake(spark, path).count() == rows.count()
-    one = read_lake(spark, path, source="hot", hour=17)
+    assert read_lake(spark, path, schema.RAW_LAKE).select(*rows.columns).exceptAll(rows).count() == 0
+    assert read_lake(spark, path, schema.RAW_LAKE).count() == rows.count()
+    one = read_lake(spark, path, schema.RAW_LAKE, source="hot", hour=17)
     assert one.count() == 600
     scan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in scan
     write_lake(rows, path, schema.LAKE_PARTITIONS, **options)
-    assert read_lake(spark, path).count() == 2 * rows.count()
+    assert read_lake(spark, path, schema.RAW_LAKE).count() == 2 * rows.count()
 
 
 def test_hot_folder_is_written_by_several_tasks(rows, tmp_path):
@@ -52,7 +52,7 @@ def test_rebalance_splits_a_hot_folder(spark, rows, tmp_path):
         for name, value in before.items():
             spark.conf.set(f"spark.sql.adaptive.{name}", value)
     assert len(list((tmp_path / "lake" / HOT).glob("*.parquet"))) > 1
-    assert read_lake(spark, str(tmp_path / "lake")).count() == rows.count()
+    assert read_lake(spark, str(tmp_path / "lake"), schema.RAW_LAKE).count() == rows.count()
 
 
 def test_batch_folders_replace_themselves(spark, rows, tmp_path):
@@ -89,3 +89,11 @@ def test_work_folder_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(Cluster, "x")
+
+
+def test_sources_stay_text(spark, texts, tmp_path):
+    lines = [envelope(source=name) for name in ("007", "12", "1e3")]
+    path = str(tmp_path / "lake")
+    write_lake(raw_lake_rows(parse_envelopes(texts(lines))), path, schema.LAKE_PARTITIONS)
+    assert {row.source for row in read_lake(spark, path, schema.RAW_LAKE).collect()} == {"007", "12", "1e3"}
+    assert read_lake(spark, path, schema.RAW_LAKE, source="007").count() == 1

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.operators.analytics import infer_schema
-from gaugeline.operators.normalize import build_envelopes, normalize_payload
+from gaugeline.operators.normalize import build_envelopes, normalize_payload, rejected_documents
 from gaugeline.sources.readers import landed_documents
 
 CASES = [
@@ -132,3 +132,20 @@ def test_generated_event_ids_differ(spark):
     records = spark.range(1000).select(F.lit("s").alias("source"), F.lit("{}").alias("record"))
     ids = build_envelopes(records).select(F.get_json_object("value", "$.event_id").alias("id"))
     assert ids.distinct().count() == 1000
+
+
+def test_last_of_repeated_names_counts(texts):
+    rows = normalize_payload(texts(['{"a":1,"a":2,"b":"x"}', '{"n":{"t":[1,2]},"n":{"t":[3,4]}}'], "document")).collect()
+    assert [json.loads(row.record) for row in rows] == [{"a": 2, "b": "x"}, {"t": 3}, {"t": 4}]
+
+
+def test_rejects_and_records_cover_all_documents(texts):
+    documents = [None, " ", "{", "1", "[]", "[1]", '{"a":{"b":1,"b":2}}', '{"a":1}', '[{"a":1},2]', '{"a":[]}', "{}"]
+    frame = texts(documents, "document")
+    rejected = {row.document: row.reason for row in rejected_documents(frame).collect()}
+    assert rejected == {
+        None: "no text", " ": "no text", "{": "no JSON", "1": "no object", "[]": "no object", "[1]": "no object",
+        '{"a":{"b":1,"b":2}}': "no JSON",
+    }
+    accepted = {row.document for row in normalize_payload(frame).collect()}
+    assert accepted == set(documents) - rejected.keys()
