@@ -1,7 +1,10 @@
 """Session settings and the shared work folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +28,14 @@ def build_session(name: str = "gaugeline", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    """One temporary folder of this process, removed at its end."""
+    folder = tempfile.mkdtemp(prefix="gaugeline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
@@ -36,5 +47,5 @@ def work_folder(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="gaugeline-")
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
