@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
-from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm.components import connected_components
@@ -18,14 +17,12 @@ from gaugeline.llm.storage import stored
 #: A pair at the limit of 0.8 agrees in a band of 5 with 0.33 and misses all 32 bands in 3 of a million cases.
 BANDS, BAND_ROWS = 32, 5
 PERCENT = 80
-#: Bits of each sketch value that are kept to estimate a pair's similarity, 16 values in a number.
-MARK_BITS = 4
-#: Standard deviations that a pair's agreement may lie below its mean at the limit; 1 in 50 million lies lower.
-MARK_DEVIATIONS = 5.5
-#: Rounds of pivots before the pairs that are left are compared one by one.
+#: Rounds of pivots before what they leave open is compared in chunks.
 PIVOT_ROUNDS = 6
-#: Pairs left, in multiples of the bucket rows, up to which no further round of pivots is worthwhile.
-REST_FACTOR = 500
+#: Chunk visits, in multiples of the bucket rows, up to which no further round of pivots is worthwhile.
+VISIT_FACTOR = 4
+#: Sets that a task indexes at a time, and sets that visit such a chunk in one task.
+CHUNK_SETS, CHUNK_VISITS = 512, 4096
 
 
 def similarity_sketch(codes: np.ndarray, size: int = BANDS * BAND_ROWS) -> np.ndarray:
@@ -64,63 +61,36 @@ def band_keys(sketch: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     return key
 
 
-def sketch_marks(sketch: np.ndarray) -> np.ndarray:
-    """The last MARK_BITS bits of every sketch value, packed."""
-    low = (sketch & np.uint64((1 << MARK_BITS) - 1)).reshape(-1, 64 // MARK_BITS)
-    return (low << (np.arange(64 // MARK_BITS, dtype=np.uint64) * np.uint64(MARK_BITS))).sum(axis=1, dtype=np.uint64)
-
-
-def may_be_similar(a: Column, b: Column, percent: int = PERCENT) -> Column:
-    """Whether two sets' marks agree as often as those of similar sets do but for rare chance."""
-    size = BANDS * BAND_ROWS
-    agree = percent / 100 + (1 - percent / 100) / (1 << MARK_BITS)
-    least = ceil(size * agree - MARK_DEVIATIONS * sqrt(size * agree * (1 - agree)))
-    ones = int("1" * (64 // MARK_BITS), 1 << MARK_BITS)
-    differ = F.lit(0)
-    for k in range(size * MARK_BITS // 64):
-        x = a[k].bitwiseXOR(b[k])
-        for step in (2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, step))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(ones)))
-    return differ <= size - least
-
-
 def sketch_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, content, bands, marks): content names the set; null but for the first two if it is empty."""
+    """(doc_id, n_shingles, content, bands): content names the set; both are null for an empty set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                sizes, contents, bands, marks = [], [], [], []
+                sizes, contents, bands = [], [], []
                 for text in part.column(1).to_pylist():
                     own = shingle_codes(words_of(text), codes)
                     sizes.append(len(own))
                     if len(own):
                         contents.append(blake2b(own.tobytes(), digest_size=16).digest())
-                        sketch = similarity_sketch(own)
-                        bands.append(band_keys(sketch).view(np.int64))
-                        marks.append(sketch_marks(sketch).view(np.int64))
+                        bands.append(band_keys(similarity_sketch(own)).view(np.int64))
                     else:
-                        for column in (contents, bands, marks):
-                            column.append(None)
+                        contents.append(None)
+                        bands.append(None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(contents, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in (bands, marks))],
-                    names=["doc_id", "n_shingles", "content", "bands", "marks"],
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(contents, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "content", "bands"],
                 )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, content binary, bands array<long>, marks array<long>"
+        sketch, "doc_id long, n_shingles long, content binary, bands array<long>"
     )
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose full shingle sets reach the similarity.
-
-    b should be the side that many pairs share: its rows meet their sets last,
-    in a sort-merge join whose hot keys Spark splits.
-    """
+def shingle_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, codes) of the documents named by ``nodes`` (node), the codes as bytes."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
@@ -130,6 +100,17 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> Data
                 own = [shingle_codes(words_of(x), codes).tobytes() for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())], names=["node", "codes"])
 
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    return stored(texts.join(nodes, "node", "left_semi").mapInArrow(sets, "node long, codes binary"), "sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose full shingle sets reach the similarity.
+
+    b should be the side that many pairs share: its rows meet their sets last,
+    in a sort-merge join whose hot keys Spark splits.
+    """
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (batch.column(k).to_pylist() for k in (2, 3))
@@ -144,36 +125,112 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> Data
                 keep[k] = 100 * common >= percent * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
 
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    known = stored(texts.join(nodes, "doc_id", "left_semi").mapInArrow(sets, "node long, codes binary"), "sets")
+    known = shingle_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), docs)
     first = pairs.join(known.select(F.col("node").alias("a"), F.col("codes").alias("x")), "a")
     full = first.join(known.select(F.col("node").alias("b"), F.col("codes").alias("y")), "b")
     return full.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct()
 
 
+class SetIndex:
+    """Sets of a chunk by their codes; counts what a set has in common with each of them."""
+
+    def __init__(self, nodes: list[int], sets: list[np.ndarray]):
+        self.nodes, self.sizes = nodes, np.array([len(x) for x in sets])
+        codes, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(codes, kind="stable")
+        codes, self.owners = codes[order], owners[order]
+        self.starts = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+        self.codes = codes[self.starts]
+        self.counts = np.diff(np.concatenate((self.starts, [len(codes)])))
+
+    def similar(self, own: np.ndarray, percent: int) -> list[int]:
+        """Nodes of the chunk whose sets reach the similarity with ``own``."""
+        at = np.minimum(np.searchsorted(self.codes, own), len(self.codes) - 1)
+        at = at[self.codes[at] == own]
+        count = self.counts[at]
+        places = np.repeat(self.starts[at] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        common = np.bincount(self.owners[places], minlength=len(self.nodes))
+        good = 100 * common >= percent * (len(own) + self.sizes - common)
+        return [self.nodes[k] for k in np.flatnonzero(good)]
+
+
+def chunk_links(open_rows: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that tie together what pivots left apart in buckets (key, node, component, main).
+
+    The nodes outside their buckets' main components are dealt to chunks of
+    bounded size by that component. Every node of such a bucket visits the
+    chunks its bucket has nodes in; its full set is compared with all sets of
+    the chunk at once. A task gives only links between components that it has
+    not tied together yet, at most one for each node it sees.
+    """
+    outside = open_rows.where(F.col("component") != F.col("main"))
+    sizes = outside.groupBy("main").agg(F.count_distinct("node").alias("n"))
+    dealt = outside.join(sizes, "main").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / CHUNK_SETS)))
+    dealt = stored(dealt.select("key", "node", "component", F.xxhash64("main", "part").alias("chunk")), "chunks")
+    visits = open_rows.select("key", "node", "component").join(dealt.select("key", "chunk").distinct(), "key")
+    visits = stored(visits.select("chunk", "node", "component").distinct(), "visits")
+    splits = visits.groupBy("chunk").agg(F.ceil(F.count("*") / CHUNK_VISITS).alias("splits"))
+    sets = shingle_sets(visits.select("node").distinct(), docs)
+    held = dealt.select("chunk", "node", "component").distinct().join(splits, "chunk")
+    held = held.select("chunk", "node", "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("splits") - 1)).alias("split"), F.lit(True).alias("held"))
+    come = visits.join(splits, "chunk").select(
+        "chunk", "node", "component", F.pmod(F.xxhash64("node"), F.col("splits")).alias("split"), F.lit(False).alias("held")
+    )
+    rows = held.union(come).join(sets, "node")
+    unit = F.xxhash64("chunk", "split").alias("unit")
+    rows = rows.select(unit, "held", "node", "component", "codes").repartition("unit").sortWithinPartitions("unit", F.desc("held"), "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, index, up, of, nodes, sets = None, None, {}, {}, [], []
+
+        def root(component: int) -> int:
+            while (above := up.get(component, component)) != component:
+                component = above
+            return component
+
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            for own_unit, own_held, node, component, codes in zip(*(c.to_pylist() for c in batch.columns)):
+                codes = np.frombuffer(codes, np.uint64)
+                if own_unit != unit:
+                    unit, index, up, of, nodes, sets = own_unit, None, {}, {}, [], []
+                if own_held:
+                    nodes.append(node)
+                    sets.append(codes)
+                    of[node] = component
+                    continue
+                index = index or SetIndex(nodes, sets)
+                for other in index.similar(codes, percent):
+                    a, b = root(component), root(of[other])
+                    if a != b:
+                        up[max(a, b)] = min(a, b)
+                        links.append((node, other))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return rows.mapInArrow(compare, "a long, b long").distinct()
+
+
 def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(node, component) of all classes (node, n_shingles, bands, marks) that are linked with another.
+    """(node, component) of all classes (node, n_shingles, bands) that are linked with another.
 
     Members of a bucket are compared with one pivot, the member that shares
     most buckets with others, instead of with each other. That ties a group of
-    copies together in a round. What the tied groups of a bucket leave open
-    are pairs across its components: they get further pivots while there are
-    very many, and are then all compared by their marks, so that no link between
-    components is lost. Whatever passes the marks is checked on its full sets.
+    copies together in a round. Where a bucket still has several components,
+    pairs across them are open: they get further pivots while there are very
+    many, and are then compared in chunks, so that no link between components
+    is lost. All comparisons are of full sets.
     """
     rows = classes.select("node", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     buckets = stored(rows.join(shared, "key").select("key", "node", "size"), "buckets")
     degree = buckets.groupBy("node").agg(F.sum("size").alias("degree"))
-    known = classes.select("node", "n_shingles", "marks")
+    known = classes.select("node", "n_shingles")
     buckets = stored(buckets.drop("size").join(degree.join(known, "node"), "node"), "buckets-ranked")
     bucket_rows = buckets.count()
     empty = docs.sparkSession.createDataFrame([], "a long, b long")
     links, tested, found = empty, empty, docs.sparkSession.createDataFrame([], "node long, component long")
     open_rows = buckets.withColumn("component", F.col("node"))
     for turn in range(PIVOT_ROUNDS + 1):
-        last = turn == PIVOT_ROUNDS
         if turn:
             # Buckets with several components; the rows outside a bucket's main one still need partners.
             labelled = buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -182,34 +239,32 @@ def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> D
                 F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("k"), F.sum("n").alias("m")
             )
             main = stored(main.where("k > 1").select("key", "m", F.col("top.component").alias("main"), F.col("top.n").alias("most")), "main")
-            size = main.agg(F.coalesce(F.sum((F.col("m") - F.col("most")) * F.col("m")), F.lit(0))).first()[0]
-            if not size:
+            visits = main.agg(F.coalesce(F.sum(F.col("m") * F.ceil((F.col("m") - F.col("most")) / CHUNK_SETS)), F.lit(0))).first()[0]
+            if not visits:
                 break
-            last = last or size <= REST_FACTOR * bucket_rows
             open_rows = stored(labelled.join(main.select("key", "main"), "key"), "open")
-        columns = ["node", "n_shingles", "marks", "component"]
-        if last:
-            others = open_rows.where(F.col("component") != F.col("main"))
-        else:
-            candidates = open_rows.where(F.col("component") != F.col("main")) if turn else open_rows
-            if turn:  # a node that was a pivot has met all of its bucket
-                candidates = candidates.join(tested.select(F.col("b").alias("node")).distinct(), "node", "left_anti")
-            top = candidates.groupBy("key").agg(F.max(F.struct("degree", -F.col("node"), "node")).alias("top"))
-            others = candidates.join(top.select("key", F.col("top.node").alias("node")), ["key", "node"])
-        members = open_rows.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
-        others = others.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
-        close = 100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b")
-        apart = F.col("component_a") != F.col("component_b")
-        pairs = members.join(others, "key").where(apart & close & may_be_similar(F.col("marks_a"), F.col("marks_b"), percent))
-        pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+            if visits <= VISIT_FACTOR * bucket_rows or turn == PIVOT_ROUNDS:
+                fresh = stored(chunk_links(open_rows, docs, percent), "chunk-links")
+                if not fresh.isEmpty():
+                    found = connected_components(links.union(fresh))
+                break
+        candidates = open_rows
+        if turn:  # a node that was a pivot has met all of its bucket
+            candidates = open_rows.where(F.col("component") != F.col("main"))
+            candidates = candidates.join(tested.select(F.col("b").alias("node")).distinct(), "node", "left_anti")
+        top = candidates.groupBy("key").agg(F.max(F.struct("degree", -F.col("node"), "node", "n_shingles", "component")).alias("top"))
+        pivots = top.select("key", F.col("top.node").alias("b"), F.col("top.n_shingles").alias("n_b"), F.col("top.component").alias("component_b"))
+        pairs = open_rows.join(pivots, "key").where(
+            (F.col("component") != F.col("component_b"))
+            & (100 * F.least("n_shingles", "n_b") >= percent * F.greatest("n_shingles", "n_b"))
+        )
+        pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti") if turn else pairs, "pairs")
         tested = tested.union(pairs)
         fresh = stored(confirmed(pairs, docs, percent), "confirmed")
         if not fresh.isEmpty():
             links = links.union(fresh)
             found = connected_components(links)
-        if last:
-            break
     return found
 
 
@@ -226,7 +281,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sketches = stored(sketch_documents(docs), "sketches")
     filled = sketches.where(F.col("content").isNotNull() & F.col("doc_id").isNotNull())
     classes = filled.groupBy("content").agg(
-        F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands"), F.any_value("marks").alias("marks")
+        F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands")
     )
     classes = stored(classes, "classes")
     found = find_links(classes, docs, percent)
