@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline import schema
 from gaugeline.operators import analytics, checks, normalize, pages, quality, registry, summaries
@@ -510,6 +511,44 @@ def _streamed(lens: EventsLens, log: DataFrame) -> TelemetryApp:
     )
 
 
+def _restarted(lens: EventsLens, start: Callable[[TelemetryApp], StreamingQuery]) -> TelemetryApp:
+    """Read the first log to its end, then open the application anew on the same folder and read the second.
+
+    The second log repeats all events: what lies behind the watermark that the
+    first run left is late.
+    """
+    folder = work_folder(lens.spark, "stream")
+    for log in (lens.first_log, lens.second_log):
+        write_text_log(log.withColumnRenamed("raw_value", "value"), f"{folder}/log")
+        app = TelemetryApp(
+            lens.spark,
+            lambda: file_log(lens.spark, f"{folder}/log"),
+            f"{folder}/tables",
+            processed_at=processing_time(),
+            availableNow=True,
+        )
+        start(app).awaitTermination()
+    return app
+
+
+@query
+def stream_late(lens: EventsLens) -> DataFrame:
+    """Windows after a restart with late events; only events not seen before and in time count."""
+    return _restarted(lens, TelemetryApp.start_aggregates).aggregates.latest()
+
+
+@query
+def stream_metrics_late(lens: EventsLens) -> DataFrame:
+    """Quality metrics after a restart; late rows change only windows that are still open."""
+    return _restarted(lens, TelemetryApp.start_metrics).metrics.latest()
+
+
+@query
+def stream_restart(lens: EventsLens) -> DataFrame:
+    """Records after a restart: late ones are upserts too."""
+    return _payload_members(_restarted(lens, lambda app: app.start_landing(["records"])).records.latest())
+
+
 @query
 def stream_raw(lens: EventsLens) -> DataFrame:
     app = _streamed(lens, lens.first_log)

@@ -391,6 +391,16 @@ ORACLES = {
       SELECT source, CASE WHEN age < 60 THEN 'Live'
         WHEN age < 3600 THEN CAST(CAST(floor(age / 60) AS BIGINT) AS VARCHAR) || 'm ago'
         ELSE CAST(CAST(floor(age / 3600) AS BIGINT) AS VARCHAR) || 'h ago' END AS freshness FROM ages""",
+    "stream_late": f"""WITH {BOTH_RECORDS}, sent AS (
+        FROM records UNION ALL SELECT * FROM late_records WHERE event_id NOT IN (SELECT event_id FROM records)
+          AND event_timestamp > (SELECT max(event_timestamp) - INTERVAL 10 MINUTES FROM records)),
+      {_aggregates('aggregates', 'sent')} SELECT {AGGREGATE_COLUMNS} FROM aggregates""",
+    "stream_metrics_late": f"""WITH {BOTH_LOGS}, sent AS (
+        FROM log UNION ALL SELECT * FROM late
+        WHERE time_bucket(INTERVAL 5 MINUTES, ingested_ts) + INTERVAL 5 MINUTES
+          > (SELECT max(ingested_ts) - INTERVAL 5 MINUTES FROM log)),
+      {_metrics('metrics', 'sent')} SELECT {METRIC_COLUMNS} FROM metrics""",
+    "stream_restart": _UPSERTED_RECORDS,
     "stream_raw": _RAW,
     "stream_quarantine": _QUARANTINED,
     "stream_records": _FIRST_RECORDS,
