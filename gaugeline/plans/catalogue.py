@@ -15,6 +15,7 @@ from gaugeline.operators.upsert import merge_batches
 from gaugeline.operators.windows import count_duplicates
 from gaugeline.plans.lens import PAGE_AFTER, EventsLens, as_of, processing_time
 from gaugeline.session import work_folder
+from gaugeline.sources.keyed import RECORDS, KeyedTable
 from gaugeline.sources.readers import file_log, read_lake
 from gaugeline.sources.writers import write_lake, write_text_log
 from gaugeline.streaming.app import TelemetryApp
@@ -246,6 +247,29 @@ def upsert_records(lens: EventsLens) -> DataFrame:
     return _payload_members(merged)
 
 
+def _records_table(lens: EventsLens) -> KeyedTable:
+    table = KeyedTable(lens.spark, work_folder(lens.spark, "keyed"), RECORDS)
+    table.upsert(lens.records, 0)
+    return table
+
+
+@query
+def keyed_base_merge(lens: EventsLens) -> DataFrame:
+    """The first batch folded into a base, the second one merged on reading."""
+    table = _records_table(lens)
+    table.compact()
+    table.upsert(lens.records_of(lens.second_log), 1)
+    return _payload_members(table.latest())
+
+
+@query
+def purged_table(lens: EventsLens) -> DataFrame:
+    """Stored records after a purge, read back."""
+    table = _records_table(lens)
+    table.compact(keep=checks.keep_recent(as_of()))
+    return _payload_members(table.latest())
+
+
 def _upserted_aggregates(lens: EventsLens) -> DataFrame:
     log = _batches(lens.aggregates, lens.aggregates_of(lens.second_log))
     return merge_batches(log, schema.AGGREGATE_KEYS, schema.AGGREGATE_FROZEN, schema.AGGREGATE_MUTABLE)
@@ -342,6 +366,16 @@ def source_kpis(lens: EventsLens) -> DataFrame:
     return summaries.source_kpis(lens.records, lens.metrics, lens.recent, as_of())
 
 
+@query
+def source_quality_registered(lens: EventsLens) -> DataFrame:
+    return summaries.source_quality(lens.records, lens.metrics, lens.silent_registry)
+
+
+@query
+def source_kpis_registered(lens: EventsLens) -> DataFrame:
+    return summaries.source_kpis(lens.records, lens.metrics, lens.recent, as_of(), lens.silent_registry)
+
+
 @query
 def overview_kpis(lens: EventsLens) -> DataFrame:
     return summaries.overview_kpis(summaries.source_quality(lens.records, lens.metrics), lens.registry)

@@ -134,6 +134,12 @@ class EventsLens:
             F.col("created_at").cast("timestamp").alias("updated_at"),
         )
 
+    @cached_property
+    def silent_registry(self) -> DataFrame:
+        """The registry with a second source beside each, which never sent an event."""
+        quiet = self.registry.withColumn("name", F.concat("name", F.lit("-quiet")))
+        return self.registry.unionByName(quiet)
+
     @cached_property
     def documents(self) -> DataFrame:
         """API responses: the events of a source in runs of 20 ids, in four shapes.

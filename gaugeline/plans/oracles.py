@@ -137,6 +137,20 @@ registry AS (
     min(ts) AS created_at, min(ts) AS updated_at
   FROM events GROUP BY event_type)"""
 
+QUIET = "quiet AS (SELECT DISTINCT event_type || '-quiet' AS name FROM events)"
+KPIS = f"""spans AS (
+    SELECT source, count(*) AS size, min(processed_at) AS first, max(processed_at) AS last
+    FROM slice GROUP BY source),
+  rates AS (SELECT source, quality_rate FROM metrics
+    QUALIFY row_number() OVER (PARTITION BY source ORDER BY run_timestamp DESC) = 1),
+  counts AS (SELECT source, count(*) AS total_records FROM records GROUP BY source)
+  SELECT source, coalesce(total_records, 0) AS total_records,
+    round(coalesce(quality_rate, 100.0), 6) AS quality_rate,
+    CASE WHEN size > 1 AND last > first THEN round(size / epoch(last - first), 2) ELSE 0
+      END AS ingestion_rate,
+    CAST(trunc(epoch({NOW} - last)) AS BIGINT) AS freshness_seconds
+  FROM counts FULL JOIN spans USING (source) FULL JOIN rates USING (source)"""
+
 RECORD_COLUMNS = """event_id, source, ingested_at, record_id, event_timestamp,
   round(temperature, 6) AS temperature, round(humidity, 6) AS humidity,
   round(temperature_f, 6) AS temperature_f, processed_at"""
@@ -262,6 +276,9 @@ ORACLES = {
       SELECT source, field, field_type, count(*) AS documents FROM fields GROUP BY ALL""",
     "dedup_events": _FIRST_RECORDS,
     "upsert_records": _UPSERTED_RECORDS,
+    "keyed_base_merge": _UPSERTED_RECORDS,
+    "purged_table": f"""WITH {RECORDS} SELECT {RECORD_COLUMNS}, {PAYLOAD_COLUMNS} FROM records
+      WHERE event_timestamp >= {NOW} - INTERVAL 7 DAYS OR event_timestamp IS NULL""",
     "upsert_aggregates": f"WITH {UPSERTED_AGGREGATES} SELECT {AGGREGATE_COLUMNS} FROM upserted",
     "upsert_metrics": f"""WITH {BOTH_LOGS}, {_metrics('metrics', 'log')},
       {_metrics('late_metrics', 'late')}, sent AS (
@@ -298,18 +315,11 @@ ORACLES = {
       FROM records WHERE source = 'click'""",
     "latest_metrics": f"WITH {CARDS} SELECT {METRIC_COLUMNS} FROM newest",
     "source_quality": f"WITH {CARDS} SELECT * FROM quality",
-    "source_kpis": f"""WITH {SLICE}, spans AS (
-        SELECT source, count(*) AS size, min(processed_at) AS first, max(processed_at) AS last
-        FROM slice GROUP BY source),
-      rates AS (SELECT source, quality_rate FROM metrics
-        QUALIFY row_number() OVER (PARTITION BY source ORDER BY run_timestamp DESC) = 1),
-      counts AS (SELECT source, count(*) AS total_records FROM records GROUP BY source)
-      SELECT source, coalesce(total_records, 0) AS total_records,
-        round(coalesce(quality_rate, 100.0), 6) AS quality_rate,
-        CASE WHEN size > 1 AND last > first THEN round(size / epoch(last - first), 2) ELSE 0
-          END AS ingestion_rate,
-        CAST(trunc(epoch({NOW} - last)) AS BIGINT) AS freshness_seconds
-      FROM counts FULL JOIN spans USING (source) FULL JOIN rates USING (source)""",
+    "source_kpis": f"WITH {SLICE}, {KPIS}",
+    "source_quality_registered": f"""WITH {CARDS}, {QUIET} SELECT * FROM quality
+      UNION ALL SELECT name, 0, 0, 0, 0, 0, 0, 0, NULL FROM quiet""",
+    "source_kpis_registered": f"""WITH {SLICE}, {QUIET}, {KPIS} UNION ALL
+      SELECT name, 0, 100.0, 0, NULL FROM quiet""",
     "overview_kpis": f"""WITH {CARDS}, {REGISTRY}
       SELECT count(*) FILTER (status = 'active') AS active_sources, count(*) AS configured_sources,
         CAST(coalesce(sum(total_records), 0) AS BIGINT) AS total_records,
