@@ -104,7 +104,7 @@ def shingle_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return stored(texts.join(nodes, "node", "left_semi").mapInArrow(sets, "node long, codes binary"), "sets")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of doc_ids whose full shingle sets reach the similarity.
 
     b should be the side that many pairs share: its rows meet their sets last,
@@ -125,9 +125,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> Data
                 keep[k] = 100 * common >= percent * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
 
-    known = shingle_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), docs)
-    first = pairs.join(known.select(F.col("node").alias("a"), F.col("codes").alias("x")), "a")
-    full = first.join(known.select(F.col("node").alias("b"), F.col("codes").alias("y")), "b")
+    first = pairs.join(sets.select(F.col("node").alias("a"), F.col("codes").alias("x")), "a")
+    full = first.join(sets.select(F.col("node").alias("b"), F.col("codes").alias("y")), "b")
     return full.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -154,7 +153,7 @@ class SetIndex:
         return [self.nodes[k] for k in np.flatnonzero(good)]
 
 
-def chunk_links(open_rows: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def chunk_links(open_rows: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) that tie together what pivots left apart in buckets (key, node, component, main).
 
     The nodes outside their buckets' main components are dealt to chunks of
@@ -170,7 +169,6 @@ def chunk_links(open_rows: DataFrame, docs: DataFrame, percent: int = PERCENT) -
     visits = open_rows.select("key", "node", "component").join(dealt.select("key", "chunk").distinct(), "key")
     visits = stored(visits.select("chunk", "node", "component").distinct(), "visits")
     splits = visits.groupBy("chunk").agg(F.ceil(F.count("*") / CHUNK_VISITS).alias("splits"))
-    sets = shingle_sets(visits.select("node").distinct(), docs)
     held = dealt.select("chunk", "node", "component").distinct().join(splits, "chunk")
     held = held.select("chunk", "node", "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("splits") - 1)).alias("split"), F.lit(True).alias("held"))
     come = visits.join(splits, "chunk").select(
@@ -227,6 +225,7 @@ def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> D
     known = classes.select("node", "n_shingles")
     buckets = stored(buckets.drop("size").join(degree.join(known, "node"), "node"), "buckets-ranked")
     bucket_rows = buckets.count()
+    sets = shingle_sets(buckets.select("node").distinct(), docs)  # one pass over the texts
     empty = docs.sparkSession.createDataFrame([], "a long, b long")
     links, tested, found = empty, empty, docs.sparkSession.createDataFrame([], "node long, component long")
     open_rows = buckets.withColumn("component", F.col("node"))
@@ -244,7 +243,7 @@ def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> D
                 break
             open_rows = stored(labelled.join(main.select("key", "main"), "key"), "open")
             if visits <= VISIT_FACTOR * bucket_rows or turn == PIVOT_ROUNDS:
-                fresh = stored(chunk_links(open_rows, docs, percent), "chunk-links")
+                fresh = stored(chunk_links(open_rows, sets, percent), "chunk-links")
                 if not fresh.isEmpty():
                     found = connected_components(links.union(fresh))
                 break
@@ -261,7 +260,7 @@ def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> D
         pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti") if turn else pairs, "pairs")
         tested = tested.union(pairs)
-        fresh = stored(confirmed(pairs, docs, percent), "confirmed")
+        fresh = stored(confirmed(pairs, sets, percent), "confirmed")
         if not fresh.isEmpty():
             links = links.union(fresh)
             found = connected_components(links)
