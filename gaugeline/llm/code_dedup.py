@@ -30,11 +30,9 @@ PAIRS_AT_ONCE = 1 << 18
 
 @lru_cache(maxsize=8)
 def rotation(dimensions: int, out: int, seed: int) -> np.ndarray:
-    """Orthonormal columns that carry vectors into ``out`` dimensions; several side by side if out is larger than asked of one."""
+    """A matrix with orthonormal columns that turns vectors at random and carries them into ``out`` dimensions."""
     random = np.random.default_rng([seed, dimensions, out])
-    wide = max(out, dimensions)
-    turned, _ = np.linalg.qr(random.standard_normal((wide, dimensions)))
-    return turned
+    return np.linalg.qr(random.standard_normal((max(out, dimensions), dimensions)))[0]
 
 
 @dataclass(frozen=True)
