@@ -1,5 +1,5 @@
 import brute
-from small import by, sentence
+from small import by, documents, sentence  # noqa: F401
 
 from gaugeline.llm.decontaminate import contamination, remove_contaminated, remove_spans
 
@@ -27,20 +27,20 @@ def texts():
     return out
 
 
-def test_hits_equal_brute_force(spark, documents):
+def test_hits_equal_brute_force(spark, documents):  # noqa: F811
     bench = spark.createDataFrame(ITEMS, SCHEMA)
     found = contamination(documents(texts().items()), bench)
     assert by(found, "doc_id", *COLUMNS) == brute.contamination(texts(), [i for i in ITEMS if i[0] is not None])
 
 
-def test_a_benchmark_in_parts(spark, documents, monkeypatch):
+def test_a_benchmark_in_parts(spark, documents, monkeypatch):  # noqa: F811
     monkeypatch.setattr("gaugeline.llm.decontaminate.SET_ROWS", 7)
     bench = spark.createDataFrame(ITEMS[:3], SCHEMA)
     found = contamination(documents(texts().items()), bench)
     assert by(found, "doc_id", *COLUMNS) == brute.contamination(texts(), ITEMS[:3])
 
 
-def test_empty_tables_and_repeated_rows(spark, documents):
+def test_empty_tables_and_repeated_rows(spark, documents):  # noqa: F811
     bench = spark.createDataFrame(ITEMS, SCHEMA)
     assert contamination(documents([]), bench).count() == 0
     clean = contamination(documents([(1, "short one")]), spark.createDataFrame([], SCHEMA)).collect()
@@ -49,7 +49,7 @@ def test_empty_tables_and_repeated_rows(spark, documents):
     assert sorted((r.doc_id or 0, r.n_words, r.n_hit) for r in rows.collect()) == [(0, 0, 0), (0, 2, 2), (1, 1, 0), (1, 2, 2), (1, 2, 2)]
 
 
-def test_documents_or_spans_are_removed(spark, documents):
+def test_documents_or_spans_are_removed(spark, documents):  # noqa: F811
     bench = spark.createDataFrame(ITEMS, SCHEMA)
     docs = documents([(1, "Keep this."), (2, "Cut a (Short, one) here!"), (None, None), (3, "short one")])
     docs = docs.withColumnsRenamed({"lang": "row_key", "source": "spans", "n_chars": "whole"})
@@ -61,6 +61,6 @@ def test_documents_or_spans_are_removed(spark, documents):
     assert {r.doc_id: r.text for r in cut.collect()} == {1: "Keep this.", 2: "Cut a (here!", None: None, 3: ""}
 
 
-def test_the_main_path_is_native(spark, documents):
+def test_the_main_path_is_native(spark, documents):  # noqa: F811
     plan = contamination(documents([(1, "a")]), spark.createDataFrame(ITEMS, SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from small import documents  # noqa: F401
 
 from gaugeline.llm.packing import best_fit_filling, pack_documents, pack_lengths, undominated_fillings, waste_bound
 from gaugeline.llm.subword import ChunkEncoder, default_tokenizer
@@ -107,14 +108,14 @@ def check_packed(rows, texts, tokens, size):
     return len(sequences)
 
 
-def test_documents_are_packed_whole(documents, tokens):
+def test_documents_are_packed_whole(documents, tokens):  # noqa: F811
     texts = {k: text for k, text in enumerate([*ODD, None, *(f"word {k} " * (k % 7) for k in range(60))])}
     rows = pack_documents(documents(texts.items()), size=32).collect()
     used = check_packed(rows, texts, tokens, 32)
     assert used >= -(-sum(r.length for r in rows) // 32)
 
 
-def test_empty_tables_repeated_rows_and_other_columns(spark, documents):
+def test_empty_tables_repeated_rows_and_other_columns(spark, documents):  # noqa: F811
     assert pack_documents(documents([])).count() == 0
     same = documents([(1, "a b"), (1, "a b"), (None, None)]).withColumnRenamed("lang", "rank").withColumnRenamed("source", "part")
     rows = pack_documents(same).collect()

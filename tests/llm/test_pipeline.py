@@ -3,6 +3,7 @@ from pathlib import Path
 import brute
 import duckdb
 import pytest
+from small import documents  # noqa: F401
 
 import compare
 import corpus_pipeline
@@ -32,7 +33,7 @@ def test_stages_equal_a_plain_round(spark):
     assert len({(r.doc_id, r.piece) for r in packed}) == len(packed)
 
 
-def test_stages_of_an_empty_table(spark, documents, tmp_path):
+def test_stages_of_an_empty_table(spark, documents, tmp_path):  # noqa: F811
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     frame = documents([])

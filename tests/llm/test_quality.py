@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
-from small import sentence
+from small import documents, sentence  # noqa: F401
 
 from gaugeline.llm.quality import BUCKETS, Tokens, context_sums, fit_network, index_vectors, quality_scores
 
@@ -22,7 +22,7 @@ def labels(spark):
     return spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in texts()], LABELS)
 
 
-def test_held_out_documents_are_told_apart(documents, labels):
+def test_held_out_documents_are_told_apart(documents, labels):  # noqa: F811
     rows = texts() | {900: None, 901: "", 902: "x" * 100_000, 903: "word " * 50_000}
     found = {r.doc_id: r for r in quality_scores(documents(rows.items()), labels).collect()}
     assert len(found) == len(rows)
@@ -32,7 +32,7 @@ def test_held_out_documents_are_told_apart(documents, labels):
     assert found[900].score == found[901].score
 
 
-def test_scores_depend_on_nothing_but_the_text(documents, labels):
+def test_scores_depend_on_nothing_but_the_text(documents, labels):  # noqa: F811
     rows = list(texts().items()) + [(None, texts()[1]), (5000, texts()[1])]
     first = {r.doc_id: r.score for r in quality_scores(documents(rows), labels).collect()}
     again = {r.doc_id: r.score for r in quality_scores(documents(rows[::-1]).repartition(5), labels).collect()}
@@ -40,14 +40,14 @@ def test_scores_depend_on_nothing_but_the_text(documents, labels):
     assert first[None] == first[5000] == first[1]
 
 
-def test_labels_of_the_held_out_fold_are_not_used(documents, labels, spark):
+def test_labels_of_the_held_out_fold_are_not_used(documents, labels, spark):  # noqa: F811
     rows = documents(texts().items())
     turned = [(k, int(k % 3 > 0) if zlib.crc32(str(k).encode()) % 4 != 2 else int(k % 3 == 0), 1) for k in texts()]
     a, b = ({r.doc_id: r.score for r in quality_scores(rows, x).collect()} for x in (labels, spark.createDataFrame(turned, LABELS)))
     assert a == b
 
 
-def test_no_labels_empty_tables_and_other_columns(documents, labels, spark):
+def test_no_labels_empty_tables_and_other_columns(documents, labels, spark):  # noqa: F811
     none = quality_scores(documents([(1, "a b")]), spark.createDataFrame([], LABELS)).collect()
     assert none[0].score == pytest.approx(0.5)
     assert quality_scores(documents([]), labels).count() == 0
@@ -57,7 +57,7 @@ def test_no_labels_empty_tables_and_other_columns(documents, labels, spark):
     assert rows.count() == 2
 
 
-def test_context_sums_equal_a_plain_count(documents):
+def test_context_sums_equal_a_plain_count(documents):  # noqa: F811
     rows = ["a b c a", "b", "", None, "c c d e f a b"]
     places, signs = index_vectors()
     want, tokens = np.zeros((BUCKETS, places.max() + 1), np.int64), Tokens()

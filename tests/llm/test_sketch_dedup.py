@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from small import by, sentence
+from small import by, documents, sentence  # noqa: F401
 
 from gaugeline.llm.components import connected_components
 from gaugeline.llm.shingles import WordCodes, shingle_codes, words_of
@@ -46,7 +46,7 @@ def edited(text, seed, share):
     return " ".join(f"x{chance.randrange(10**6)}" if chance.random() < share else w for w in text.split())
 
 
-def test_groups_equal_brute_force(documents):
+def test_groups_equal_brute_force(documents):  # noqa: F811
     texts, k = {}, 0
     for base in range(12):
         text = sentence(base, words=120)
@@ -57,7 +57,7 @@ def test_groups_equal_brute_force(documents):
     assert by(near_duplicates(documents(texts.items())), "doc_id", *COLUMNS) == brute.near_duplicates(texts)
 
 
-def test_a_chain_is_one_group_though_its_ends_differ(documents):
+def test_a_chain_is_one_group_though_its_ends_differ(documents):  # noqa: F811
     words = sentence(1, words=200, vocabulary=10**6).split()
     texts = {100 - k: " ".join(words[: 200 - 8 * k] + [f"y{j}" for j in range(8 * k)]) for k in range(20)}
     want = brute.near_duplicates(texts)
@@ -65,13 +65,13 @@ def test_a_chain_is_one_group_though_its_ends_differ(documents):
     assert by(near_duplicates(documents(texts.items())), "doc_id", *COLUMNS) == want
 
 
-def test_copies_tied_only_by_their_model(documents):
+def test_copies_tied_only_by_their_model(documents):  # noqa: F811
     base = sentence(5, words=150, vocabulary=10**6)
     texts = {k: edited(base, k, 0.05) for k in range(60)} | {77: base}
     assert by(near_duplicates(documents(texts.items())), "doc_id", *COLUMNS) == brute.near_duplicates(texts)
 
 
-def test_very_long_texts_empty_tables_and_repeated_rows(documents):
+def test_very_long_texts_empty_tables_and_repeated_rows(documents):  # noqa: F811
     long = sentence(3, words=60_000, vocabulary=10**5)
     rows = [(1, long), (2, long + " more"), (3, "a b c"), (3, "a b c"), (None, "a b c"), (None, None)]
     found = near_duplicates(documents(rows)).collect()
@@ -80,7 +80,7 @@ def test_very_long_texts_empty_tables_and_repeated_rows(documents):
     assert near_duplicates(documents([])).count() == 0
 
 
-def test_one_row_of_a_group_stays_with_all_columns(documents):
+def test_one_row_of_a_group_stays_with_all_columns(documents):  # noqa: F811
     rows = [(5, "a b c d"), (4, "A b c d"), (4, "A b c d"), (9, "other words"), (None, "a b c d"), (7, None)]
     docs = documents(rows).withColumnsRenamed({"lang": "key", "source": "whole", "n_chars": "turn"})
     kept = remove_near_duplicates(docs)

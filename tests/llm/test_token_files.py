@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from test_packing import ODD, tokens  # noqa: F401
+from small import documents  # noqa: F401
 
 from gaugeline.llm.storage import open_output
 from gaugeline.llm.token_files import EliasFano, TokenFile, token_offsets, write_token_files
@@ -37,7 +38,7 @@ def test_documents_come_back_in_order(documents, tokens):  # noqa: F811
         start += len(ids)
 
 
-def test_null_ids_repeated_rows_and_empty_tables(documents):
+def test_null_ids_repeated_rows_and_empty_tables(documents):  # noqa: F811
     assert token_offsets(documents([])).count() == 0
     rows = token_offsets(documents([(7, "a"), (None, "b"), (7, "a"), (-5, None)])).collect()
     assert sorted(r.start for r in rows) == [0, 2, 3, 5]
@@ -52,7 +53,7 @@ def test_a_document_is_fetched_by_its_place(documents, tokens):  # noqa: F811
     assert file.ids(*file.bounds(place)).tolist() == tokens("text number 49") + [2]
 
 
-def test_a_damaged_file_is_refused(documents, tmp_path):
+def test_a_damaged_file_is_refused(documents, tmp_path):  # noqa: F811
     good = write_token_files(documents([(1, "a b c")])).first().file
     data = open(good.removeprefix("file://"), "rb").read()
     for bad in (data[:-1], b"x" + data[1:], data[:10] + data[12:]):
