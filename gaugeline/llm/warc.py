@@ -133,9 +133,9 @@ def mark_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     """Adds refers_to: of rows with equal payloads the largest page_id is stored, the others point to it.
 
     Payloads are told apart by SHA-1 and length, aggregated before the shuffle;
-    only rows that do revisit go back by page_id. Payloads below ``least`` bytes
+    only rows that do revisit go back, by page_id and payload. Payloads below ``least`` bytes
     and rows without a page_id revisit nothing; repeated rows of one page_id are
-    all stored. The columns of the result are page_id, url, html, refers_to.
+    all stored, and rows of one page_id with other payloads each go by their own. The columns of the result are page_id, url, html, refers_to.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
@@ -144,7 +144,8 @@ def mark_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     narrow = stored(narrow, "payloads")
     stays = narrow.groupBy("content").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
     revisits = narrow.join(stays.select("content", "refers_to"), "content").where(F.col("page_id") != F.col("refers_to"))
-    return base.join(revisits.select("page_id", "refers_to").distinct(), "page_id", "left").select("page_id", "url", "html", "refers_to")
+    revisits = revisits.select("page_id", "content", "refers_to").distinct()
+    return base.withColumn("content", content).join(revisits, ["page_id", "content"], "left").select("page_id", "url", "html", "refers_to")
 
 
 def write_archives(pages: DataFrame, least: int = 0, folder: str | None = None) -> DataFrame:

@@ -88,3 +88,11 @@ def test_damaged_archives_are_refused(tmp_path):
             out.write(bad)
         with pytest.raises((WarcError, zstandard.ZstdError)):
             list(read_archive(other))
+
+
+def test_payloads_of_one_page_id_go_by_their_own(spark):
+    pages = [(7, "u", "unique"), (7, "u", "shared"), (8, "u", "shared"), (5, "u", "a"), (5, "u", "b"), (6, "u", "a"), (9, "u", "b")]
+    found = archive_round_trip(spark.createDataFrame(pages, SCHEMA)).collect()
+    assert len(found) == len(pages)
+    assert {bytes(r.payload) for r in found if r.record_type == "response"} == {b"unique", b"shared", b"a", b"b"}
+    assert sorted((r.page_id, r.refers_to) for r in found if r.record_type == "revisit") == [(5, 6), (5, 9), (7, 8)]
