@@ -28,7 +28,7 @@ def _messages(table: DataFrame) -> DataFrame:
 def read_calls(table: DataFrame) -> DataFrame:
     """Calls in assistant messages whose text is {"tool_calls": [{id, name, arguments, needs}, ...]}."""
     rows = _messages(table).where((F.col("role") == "assistant") & F.col("text").startswith("{"))
-    calls = rows.select("conv_id", "turn", F.explode(F.from_json("text", CALLS_TEXT)["tool_calls"]).alias("c"))
+    calls = rows.select("conv_id", "turn", F.explode(F.from_json("text", CALLS_TEXT)["tool_calls"]).alias("c")).where("c is not null")
     return calls.select("conv_id", F.col("c.id").alias("call_id"), "turn", "c.name", "c.arguments", "c.needs")
 
 
@@ -39,6 +39,22 @@ def read_results(table: DataFrame) -> DataFrame:
     return found.select("conv_id", F.col("r.tool_call_id").alias("call_id"), "turn", "r.content")
 
 
+def unreadable_messages(table: DataFrame) -> DataFrame:
+    """Messages that are to hold calls or a result and do not, or not all of them: rows of ``link_calls``, the text as result."""
+    rows = _messages(table)
+    calls = F.from_json("text", CALLS_TEXT)["tool_calls"]
+    no_calls = calls.isNull() | (F.size(calls) == 0) | F.exists(calls, lambda c: c.isNull())
+    no_result = ~F.coalesce(F.col("text").startswith("{"), F.lit(False)) | F.from_json("text", RESULT_TEXT)["tool_call_id"].isNull()
+    problem = F.when((F.col("role") == "assistant") & F.col("text").startswith('{"tool_calls"') & no_calls, "unreadable calls")
+    problem = problem.when((F.col("role") == "tool") & no_result, "unreadable result")
+    none = F.lit(None).cast("string")
+    body = F.struct(none.alias("arguments"), none.alias("call_id"), none.alias("name"), F.col("text").alias("result"))
+    return rows.withColumn("problems", problem).where("problems is not null").select(
+        "conv_id", none.alias("call_id"), "turn", none.alias("name"), F.lit(None).cast("long").alias("position"),
+        F.lit("unreadable").alias("status"), "problems", F.lit(False).alias("valid"), canonical_json(body).alias("json"),
+    )
+
+
 def turns_as_calls(table: DataFrame) -> DataFrame:
     """Every user turn as a call of the tool ``reply``, which needs the user turn before it."""
     rows = _messages(table).where(F.col("role") == "user")
@@ -207,10 +223,14 @@ def canonical_json(body: Column) -> Column:
 
 
 def link_conversations(table: DataFrame) -> DataFrame:
-    """Tool calls and turns of a conversations table (conv_id, turn, role, text), linked and serialised."""
+    """Tool calls and turns of a conversations table (conv_id, turn, role, text), linked and serialised.
+
+    Call and tool messages that cannot be read have a row of status unreadable.
+    Roles other than user, assistant and tool, such as system, have no row.
+    """
     calls = turns_as_calls(table).unionByName(read_calls(table))
     results = turns_as_results(table).unionByName(read_results(table))
-    return link_calls(calls, results, REPLY_SCHEMA)
+    return link_calls(calls, results, REPLY_SCHEMA).unionByName(unreadable_messages(table))
 
 
 def chat_samples(linked: DataFrame) -> DataFrame:

@@ -84,3 +84,19 @@ def test_chats_with_calls_and_turns(spark):
 def test_the_main_path_is_native(spark):
     plan = link_conversations(spark.createDataFrame([(1, 0, "user", "q")], CHAT))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_unreadable_messages_have_rows(spark):
+    calls = '{"tool_calls": [{"id": "a", "name": "reply", "arguments": "{}"}]}'
+    rows = [
+        (1, 0, "system", "s"), (1, 1, "assistant", '{"tool_calls": [{'), (1, 2, "assistant", '{"tool_calls": []}'), (1, 3, "assistant", '{"tool_calls": [null]}'),
+        (1, 4, "tool", "oops"), (1, 5, "tool", '{"content": "x"}'), (1, 6, "tool", None), (1, 7, "assistant", calls), (1, 8, "tool", '{"tool_call_id": "a", "content": "r"}'),
+    ]
+    found = {r.turn: r for r in link_conversations(spark.createDataFrame(rows, CHAT)).collect()}
+    assert {k: (r.status, r.problems) for k, r in found.items() if k < 7} == dict.fromkeys((1, 2, 3), ("unreadable", "unreadable calls")) | dict.fromkeys(
+        (4, 5, 6), ("unreadable", "unreadable result")
+    )
+    assert not any(r.valid for r in found.values() if r.status == "unreadable")
+    assert found[7].status == "answered"
+    assert found[4].json == '{"result":"oops"}' and found[6].json == "{}"
+    assert len(found) == 7
