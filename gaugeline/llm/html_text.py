@@ -31,9 +31,9 @@ BLOCKS = frozenset(
 #: Elements that a start tag of a block, or one of their own kind, closes.
 CLOSED_BY_BLOCK = frozenset(["p"])
 CLOSED_BY_OWN = frozenset("li dd dt option tr td th".split())
-#: Elements that are never part of an article.
+#: Elements that are never part of an article; an annotation repeats its formula and is not shown.
 OUTSIDE = frozenset(
-    "aside button datalist dialog embed footer form frameset head iframe input math menu nav noembed noframes noscript object"
+    "annotation annotation-xml aside button datalist dialog embed footer form frameset head iframe input menu nav noembed noframes noscript object"
     " script select style svg template textarea title".split()
 )
 #: Words in class, id, role or itemprop that mark what is not article.
@@ -45,6 +45,8 @@ MARKS = frozenset(
     " toolbar widget".split()
 )
 HOLDERS = frozenset(("article", "main"))
+#: Elements of an article whose id and label name their subject.
+SUBJECTS = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 
 #: Weights before any page is seen, and the bounds of learned ones.
 WORD, LINK_WORD, BLOCK_TAG, INLINE_TAG = 1.0, -0.5, -0.5, -0.1
@@ -71,13 +73,19 @@ class Page:
     elements: list[Element] = field(default_factory=list)
 
 
-def _marks(attributes: str) -> bool:
-    """Whether an element's attributes say that it is not article."""
+def _marks(attributes: str, name_of: str, held: bool) -> bool:
+    """Whether an element's attributes say that it is not article.
+
+    Inside an article or main element (``held``), an id or label says so only
+    by marks alone, as in id="comments", and never on a heading or section.
+    """
     words: set[str] = set()
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id", "role", "itemprop", "data-role", "aria-label"):
-            words.update(w.lower() for w in NAME_WORD.findall(value))
+            own = {w.lower() for w in NAME_WORD.findall(value)}
+            if not held or name not in ("id", "aria-label") or name_of not in SUBJECTS and own <= MARKS:
+                words |= own
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -124,7 +132,10 @@ def read_page(html: str) -> Page:
                     break
                 if element.name in BLOCKS:
                     break
-        element = Element(name, len(events), bool(match[3]) and _marks(match[3]), name == "a")
+        marked = bool(match[3]) and _marks(match[3], name, False)
+        if marked and any(e.name in HOLDERS for e in opened):
+            marked = _marks(match[3], name, True)
+        element = Element(name, len(events), marked, name == "a")
         page.elements.append(element)
         events.append(("start", element))
         if name in VOID or match[3].endswith("/") and name not in BLOCKS and name not in RAW:

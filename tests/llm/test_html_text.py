@@ -35,6 +35,25 @@ def test_main_text(html, text):
     assert main_text(html, {}) == text
 
 
+@pytest.mark.parametrize(
+    ("inner", "kept"),
+    [
+        ("<section id='discussion'><p>Text</p></section>", "Text"),
+        ("<h2 id='related-work'>Text</h2>", "Text"),
+        ("<h2 id='search'>Text</h2>", "Text"),
+        ("<section aria-label='Related work'><p>Text</p></section>", "Text"),
+        ("<div id='hidden-costs'>Text</div>", "Text"),
+        ("<p><math><mi>Text</mi><annotation>TeX</annotation></math></p>", "Text"),
+        ("<div id='comments'>Text</div>", ""),
+        ("<section class='comments'>Text</section>", ""),
+        ("<section role='search'>Text</section>", ""),
+        ("<h2 id='search' hidden>Text</h2>", ""),
+    ],
+)
+def test_ids_inside_an_article_name_its_subjects(inner, kept):
+    assert main_text(f"<article><p>{WORDS}</p>{inner}</article>", {}) == "\n".join(filter(None, (WORDS, kept)))
+
+
 def test_without_markup_the_densest_stretch_wins():
     links = "".join(f"<div><a href=x>link {k}</a></div>" for k in range(40))
     body = "".join(f"<div>{WORDS} {WORDS} {k}</div>" for k in range(5))
