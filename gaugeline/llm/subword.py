@@ -1,18 +1,24 @@
-"""Token ids of whole texts by a public word-BPE vocabulary, with a bounded cache of chunks."""
+"""Token ids of whole texts by a public word-BPE vocabulary, with a bounded cache of pieces."""
 
 from __future__ import annotations
 
 import json
 import os
 import re
+import struct
 
 import numpy as np
 
-#: A piece of a chunk as the vocabulary's own splitting rule makes it, over lower-case Latin-1.
-PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-#: Chunks that NFC leaves alone and for which PIECE equals the vocabulary's rule.
-PLAIN = re.compile(r"[\x21-\x7Eß-öø-ÿÀ-ÖØ-Þ]+").fullmatch
-CACHE_CHUNKS = 400_000
+#: A piece of lower-case text as the vocabulary's own splitting rule makes it, over Latin-1.
+PIECE = re.compile(r"[a-zß-öø-ÿ]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^a-z0-9ß-öø-ÿ\s]+")
+#: Texts and chunks that NFC leaves alone and for which PIECE equals the vocabulary's rule.
+PLAIN = re.compile(r"[\x20-\x7Eß-öø-ÿÀ-ÖØ-Þ\n\t\r]*").fullmatch
+CACHE_PIECES = 300_000
+#: Longer pieces are computed each time, so that the cache is bounded in bytes too.
+LONG = 64
+#: The byte alphabet of such vocabularies: printable Latin-1 stands for itself, other bytes follow from 256 on.
+SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+ALPHABET = dict(zip(SHOWN, SHOWN)) | {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in set(SHOWN))}
 
 
 def default_tokenizer() -> str:
@@ -21,17 +27,40 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Generations(dict):
+    """Values of a function, kept in two generations of at most ``limit`` keys each.
+
+    A full generation becomes the older one; what is still in use is taken over
+    from there, so that frequent keys are never computed twice in a row.
+    """
+
+    def __init__(self, compute, limit: int):
+        super().__init__()
+        self.compute, self.limit, self.older = compute, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) > LONG:
+            return value
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class ChunkEncoder:
     """Ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
     The vocabulary drops white space, and nothing it does reaches across a
-    blank, so a text's ids are those of its chunks. Chunks are kept in a bounded
-    cache. New chunks of printable ASCII and Latin-1 letters are cut into pieces
-    and all pieces encoded at once; each piece's last token ends a word, which
-    tells where its ids end. Every other chunk is encoded by itself.
+    blank. A text of printable ASCII and Latin-1 letters is cut by PIECE, and
+    pieces not in the bounded cache go to the vocabulary's own merge rules. Any
+    other text is cut at blanks first; what is still not plain is encoded whole.
     """
 
-    def __init__(self, path: str | None = None, limit: int = CACHE_CHUNKS):
+    def __init__(self, path: str | None = None, limit: int = CACHE_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -39,82 +68,36 @@ class ChunkEncoder:
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
-        special = [token["content"] for token in rules["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, special)), re.I).search if special else lambda _: None
-        rules |= {
-            "normalizer": None,
-            "added_tokens": [],
-            "pre_tokenizer": {
-                "type": "Sequence",
-                "pretokenizers": [
-                    {"type": "WhitespaceSplit"},
-                    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
-                ],
-            },
-        }
-        self.pieces = Tokenizer.from_str(json.dumps(rules))
-        vocabulary = self.whole.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, number in vocabulary.items():
-            self.ends[number] = token.endswith("</w>")
-        self.limit, self.known = limit, {}
+        self.special = [token["content"] for token in rules["added_tokens"]]
+        self.tokens = self.whole.model.tokenize
+        self.width = 2 if self.whole.get_vocab_size() <= 2**16 else 4
+        self.pieces = Generations(self._piece, limit)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers; no text has no ids."""
-        found, missing = [], set()
-        get = self.known.get
-        for text in texts:
-            chunks = (text or "").replace("\n", " ").split(" ")
-            ids = list(map(get, chunks))
-            if None in ids:
-                gaps = [k for k, x in enumerate(ids) if x is None]
-                missing.update(map(chunks.__getitem__, gaps))
-                found.append((ids, gaps, [chunks[k] for k in gaps]))
-            else:
-                found.append((ids, None, None))
-        fresh = self._encode_chunks(list(missing)) if missing else {}
-        out = []
-        for ids, gaps, chunks in found:
-            if gaps:
-                for k, chunk in zip(gaps, chunks):
-                    ids[k] = fresh[chunk]
-            out.append(b"".join(ids))
-        if len(self.known) + len(fresh) > self.limit:
-            self.known = {}
-        self.known |= fresh
-        return out
-
-    def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        cut, rest, parts = {}, [], {}
-        for chunk in chunks:
-            if PLAIN(chunk) and not self.special(chunk):
-                cut[chunk] = own = PIECE.findall(chunk.lower())
-                for piece in own:
-                    parts[piece] = None
-            else:
-                rest.append(chunk)
-        names = list(parts)
-        groups = [names[k : k + 500] for k in range(0, len(names), 500)]
-        encoded = self.pieces.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
-        for group, encoding in zip(groups, encoded):
-            ids = np.array(encoding.ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(group):  # a piece without a word end: one by one
-                for piece in group:
-                    parts[piece] = self._one(piece)
-                continue
-            data, start = ids.tobytes(), 0
-            for piece, stop in zip(group, (stops * 4).tolist()):
-                parts[piece] = data[start:stop]
-                start = stop
-        out = {chunk: b"".join(map(parts.__getitem__, own)) for chunk, own in cut.items()}
-        for chunk in rest:
-            out[chunk] = self._one(chunk)
-        return out
-
-    def _one(self, text: str) -> bytes:
+        return [self.ids(text or "") for text in texts]
+
+    def ids(self, text: str) -> bytes:
+        if any(token in text for token in self.special):
+            return self._whole(text)
+        if PLAIN(text):
+            return b"".join(map(self.pieces.__getitem__, PIECE.findall(text.lower())))
+        return b"".join(map(self._chunk, text.replace("\n", " ").split(" ")))
+
+    def _chunk(self, chunk: str) -> bytes:
+        if PLAIN(chunk):
+            return b"".join(map(self.pieces.__getitem__, PIECE.findall(chunk.lower())))
+        return self._whole(chunk)
+
+    def _whole(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(ALPHABET)
+        found = [token.id for token in self.tokens(piece)]
+        return struct.pack(f"<{len(found)}I", *found)
+
 
 _encoders: dict[str | None, ChunkEncoder] = {}
 

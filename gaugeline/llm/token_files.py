@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import struct
 import uuid
 import zlib
@@ -22,6 +23,8 @@ MAGIC = b"TOKIDS01"
 TAIL = "<BQQQQ8s"
 #: One bits between two samples of the select structure.
 SAMPLE = 256
+#: Ids read from a file at once.
+BLOCK = 2**20
 
 
 class EliasFano:
@@ -123,8 +126,8 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(tokenizer)
-        kind = "<u2" if len(ids_of.ends) <= 2**16 and end_id < 2**16 else "<u4"
-        end = np.array([end_id], kind).tobytes()
+        kind = f"<u{ids_of.width if end_id < 2**16 else 4}"
+        end = np.array([end_id], "<u4").tobytes()
         out, names, ends, total, nulls = None, [], [], 0, 0
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
@@ -136,10 +139,10 @@ def write_token_files(
                 own = part.column(0).to_pylist()
                 nulls += own.count(None)
                 names += [x for x in own if x is not None]
-                for ids in ids_of.encode(part.column(1).to_pylist()):
-                    data = np.frombuffer(ids, "<u4").astype(kind).tobytes() + end
-                    out.write(data)
-                    total += len(data) // int(kind[2])
+                found = ids_of.encode(part.column(1).to_pylist())
+                out.write(np.frombuffer(end.join([*found, b""]), "<u4").astype(kind))
+                for ids in found:
+                    total += len(ids) // 4 + 1
                     ends.append(total)
         if out is not None:
             blocks = [EliasFano.of(np.array(x, np.int64)).to_bytes() for x in (names, ends)]
@@ -199,24 +202,28 @@ class TokenFile:
         self.input.seek(len(MAGIC) + self.width * start)
         return np.frombuffer(self.input.read(self.width * (end - start)), f"<u{self.width}")
 
+    def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
+        """Each document's id, start and ids: bounds by select, ids read BLOCK at a time."""
+        low, block = 0, np.zeros(0, "<u2")
+        for place in range(len(self)):
+            start, end = self.bounds(place)
+            if end > low + len(block):
+                low, block = start, self.ids(start, min(self.n_ids, max(end, start + BLOCK)))
+            yield self.doc_id(place), start, block[start - low : end - low]
+
 
 def read_token_files(files: DataFrame) -> DataFrame:
     """The documents of listed files: (doc_id, start, n_tokens, ids_crc32)."""
 
     def read(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in groups:
-            for name, start in zip(group["file"], group["start"]):
-                file = TokenFile(name)
-                ends = file.ends.decode()
-                names = [None] * file.n_nulls + file.names.decode().tolist()
-                for low in range(0, len(ends), 1000):
-                    stops, rows, before = ends[low : low + 1000], [], int(ends[low - 1]) if low else 0
-                    for doc, stop in zip(names[low : low + 1000], stops.tolist()):
-                        ids = file.ids(before, stop).astype("<u4")
-                        rows.append((doc, int(start) + before, stop - before, zlib.crc32(ids.tobytes())))
-                        before = stop
-                    out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
-                    yield out.astype({"doc_id": "Int64"})
+            for name, before in zip(group["file"], group["start"]):
+                rows = (
+                    (doc, int(before) + start, len(ids), zlib.crc32(ids.astype("<u4")))
+                    for doc, start, ids in TokenFile(name).documents()
+                )
+                while part := list(itertools.islice(rows, 1000)):
+                    yield pd.DataFrame(part, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
 
     spread = files.select("file", "start").repartition(files.sparkSession.sparkContext.defaultParallelism * 4, "file")
     return spread.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
