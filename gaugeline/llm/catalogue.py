@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeline.llm.bpe_paths import round_trip_digests
 from gaugeline.llm.class_lm import class_scores
 from gaugeline.llm.code_dedup import near_vectors
 from gaugeline.llm.decontaminate import contamination
+from gaugeline.llm.equal_average import ROUNDS, vector_codes
 from gaugeline.llm.html_text import extract_text
 from gaugeline.llm.packing import pack_documents
 from gaugeline.llm.quality import fold, quality_scores
@@ -77,12 +79,59 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_offsets(table(spark, folder, "documents"))
 
 
+def op12_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids by dynamic programming, and the text they decode to, as digests."""
+    return round_trip_digests(table(spark, folder, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding's code, its error and its label's."""
+    return vector_codes(table(spark, folder, "embeddings"))
+
+
 def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f) and name != "open"}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
+def _codebook_sql() -> str:
+    """Plain assignment against every entry, one pair of steps a round."""
+    steps = [r"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, (i - 1) // (len(v) // 4) AS part, (i - 1) % (len(v) // 4) AS pos, v[i] AS c
+  FROM (SELECT vec_id, v, unnest(range(1, len(v) + 1)) AS i FROM kept)),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 256),
+book0 AS MATERIALIZED (SELECT part, entry, pos, c FROM parts JOIN seeds USING (vec_id))"""]
+    for k in range(ROUNDS + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (
+  SELECT vec_id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT vec_id, p.part, entry, CAST(sum((p.c - b.c) * (p.c - b.c)) AS BIGINT) AS d
+    FROM parts p JOIN book{k} b ON p.part = b.part AND p.pos = b.pos GROUP BY 1, 2, 3)
+  GROUP BY 1, 2)""")
+        if k < ROUNDS:
+            steps.append(f"""
+book{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.pos, CASE WHEN n IS NULL THEN b.c ELSE (s - ((s % n) + n) % n) // n END AS c
+  FROM book{k} b LEFT JOIN (
+    SELECT part, entry, pos, CAST(sum(c) AS BIGINT) AS s, count(*) AS n
+    FROM near{k} JOIN parts USING (vec_id, part) GROUP BY 1, 2, 3) USING (part, entry, pos))""")
+    steps.append(f"""
+codes AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{ROUNDS} GROUP BY 1)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(c, ',' ORDER BY part, entry, pos)) FROM book{ROUNDS}) AS codebooks_sha256
+FROM codes JOIN kept USING (vec_id)""")
+    return ",".join(steps[:-1]) + "," + steps[-1]
+
+
 ORACLES: dict[str, str] = {
+    "op13_vector_codes": _codebook_sql(),
     "op2_near_duplicates": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
