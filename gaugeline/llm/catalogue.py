@@ -14,6 +14,7 @@ from gaugeline.llm.decontaminate import contamination
 from gaugeline.llm.equal_average import ROUNDS, vector_codes
 from gaugeline.llm.html_text import extract_text
 from gaugeline.llm.packing import pack_documents
+from gaugeline.llm.phrases import top_collocations
 from gaugeline.llm.quality import fold, quality_scores
 from gaugeline.llm.sketch_dedup import near_duplicates
 from gaugeline.llm.token_files import token_offsets
@@ -79,6 +80,11 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_offsets(table(spark, folder, "documents"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of every language."""
+    return top_collocations(table(spark, folder, "documents"))
+
+
 def op12_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids by dynamic programming, and the text they decode to, as digests."""
     return round_trip_digests(table(spark, folder, "documents"))
@@ -132,6 +138,37 @@ FROM codes JOIN kept USING (vec_id)""")
 
 ORACLES: dict[str, str] = {
     "op13_vector_codes": _codebook_sql(),
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+spans AS (
+  SELECT lang, m, w[i:i + m - 1] AS p
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, range(1, 5) AS lengths(m) WHERE len(w) >= m)),
+freq AS MATERIALIZED (SELECT lang, m, p, count(*) AS a FROM spans GROUP BY 1, 2, 3),
+total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM freq WHERE m = 1 GROUP BY 1),
+frequent AS MATERIALIZED (SELECT * FROM freq WHERE a >= 30),
+cuts AS (
+  SELECT lang, m, p, a, k, p[1:k] AS x, p[k + 1:] AS y
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM frequent WHERE m > 1)),
+scored AS (
+  SELECT c.lang, c.m, c.p, c.a, c.k, x.a AS l, y.a AS r, CAST((2000000::HUGEINT * c.a) // (x.a + y.a) AS BIGINT) AS score
+  FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.p = c.x JOIN frequent y ON y.lang = c.lang AND y.p = c.y),
+weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, a, p[i:i + s - 1] AS part
+  FROM (SELECT lang, a, p, m, s, unnest(range(1, m - s + 2)) AS i FROM frequent, range(2, 4) AS sizes(s) WHERE s < m)),
+held AS (SELECT lang, part, max(a) AS longer FROM inner_parts GROUP BY 1, 2),
+kept AS (
+  SELECT w.*, array_to_string(w.p, ' ') AS phrase
+  FROM weakest w LEFT JOIN held h ON h.lang = w.lang AND h.part = w.p
+  WHERE h.longer IS NULL OR 100 * h.longer < 80 * w.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000""",
     "op2_near_duplicates": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
