@@ -1,6 +1,6 @@
 """JSON document helpers built on Spark's JSON and VARIANT functions."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Same tolerance as JSON path extraction: control characters pass, NaN does not.
@@ -11,6 +11,13 @@ _PARSE_OPTIONS = {
 }
 PAYLOAD_MEMBERS = ["id", "timestamp", "time", "temperature", "humidity"]
 
+#: With it Spark's reader keeps the last of repeated member names, in every object, instead of refusing the text.
+LAST_NAME_WINS = "spark.sql.variant.allowDuplicateKeys"
+
+#: Marks a number that JSON has no text for, inside the string that stands for it.
+MARK = "\ue000"
+CONSTANTS = "-?Infinity|NaN"
+
 NUMBERS = ["BIGINT", "DECIMAL", "DOUBLE", "FLOAT"]
 
 
@@ -49,28 +56,36 @@ def is_whole_json(text: Column) -> Column:
     Spark's parsers stop after the first value. Text after it cannot fit into
     both a list and an object around the whole.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    wrapped = F.try_parse_json(F.concat(F.lit('{"value":'), text, F.lit("}")))
+    listed = parse_document(F.concat(F.lit("["), text, F.lit("]")))
+    wrapped = parse_document(F.concat(F.lit('{"value":'), text, F.lit("}")))
     return F.coalesce(F.size(as_list(listed)) == 1, F.lit(False)) & wrapped.isNotNull()
 
 
 def parse_document(text: Column) -> Column:
     """A JSON text as a variant, null where it cannot be read.
 
-    Where an object repeats a member name, the last one counts. Only objects
-    that Spark refuses are read a second time; a name repeated below the top
-    level stays unreadable.
+    Where an object at any depth repeats a member name, the last one counts. The
+    session keeps the setting that says so, since Spark asks for it once more
+    when a query runs.
     """
-    pairs = F.map_entries(F.from_json(text, "map<string,variant>"))
-    last = F.filter(
-        pairs,
-        lambda pair, place: ~F.exists(
-            F.slice(pairs, place + 2, F.size(pairs)), lambda later: later["key"] == pair["key"]
-        ),
-    )
-    whole = text.rlike(r"^\s*\{") & text.rlike(r"\}\s*$") & F.json_object_keys(text).isNotNull()
-    again = F.when(whole, F.to_variant_object(F.map_from_entries(last)))
-    return F.coalesce(F.try_parse_json(text), again)
+    SparkSession.active().conf.set(LAST_NAME_WINS, "true")
+    return F.try_parse_json(text)
+
+
+def readable(text: Column) -> Column:
+    """The text with NaN and infinities, where a document cannot be read for them, as marked strings.
+
+    Other readers take them for numbers. ``plain_constants`` undoes it.
+    """
+    has_one = (F.contains(text, F.lit("NaN")) | F.contains(text, F.lit("Infinity"))) & ~F.contains(text, F.lit(MARK))
+    strings = F.regexp_replace(text, rf'("[^"\\]*+(?:\\.[^"\\]*+)*+")|({CONSTANTS})', f"$1{MARK}$2{MARK}")
+    marked = F.regexp_replace(F.replace(strings, F.lit(MARK * 2), F.lit("")), f"{MARK}({CONSTANTS}){MARK}", f'"{MARK}$1"')
+    return F.when(has_one & parse_document(text).isNull(), marked).otherwise(text)
+
+
+def plain_constants(text: Column) -> Column:
+    """A document's text with marked strings as the numbers they stand for."""
+    return F.when(F.contains(text, F.lit(MARK)), F.regexp_replace(text, f'"{MARK}({CONSTANTS})"', "$1")).otherwise(text)
 
 
 def as_map(value: Column, path: str = "$") -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline import schema
-from gaugeline.functions.documents import NUMBERS, as_map, kind, members, number, parse_document
+from gaugeline.functions.documents import MARK, NUMBERS, as_map, kind, members, number, parse_document, readable
 from gaugeline.functions.numbers import stable_round
 from gaugeline.functions.staging import staged
 from gaugeline.operators.ranking import top_per_key
@@ -31,7 +31,8 @@ def recent_slice(records: DataFrame, size: int = schema.SLICE_SIZE) -> DataFrame
 
 def infer_schema(documents: DataFrame, column: str = "document") -> DataFrame:
     """Field names and types of each document; a list is judged by its first element."""
-    rows = staged(documents, _document=parse_document(F.col(column)))
+    rows = staged(documents, _readable=readable(F.col(column)))
+    rows = staged(rows, _document=parse_document(F.col("_readable")))
     document = F.col("_document")
     fields = F.coalesce(as_map(document), as_map(document, "$[0]"))
     rows = rows.select(*documents.columns, F.explode(fields).alias("field", "_value"))
@@ -44,7 +45,7 @@ def infer_schema(documents: DataFrame, column: str = "document") -> DataFrame:
     )
     field_type = (
         F.when(F.col("_kind") == "BOOLEAN", "boolean")
-        .when(F.col("_kind").isin(NUMBERS), "numeric")
+        .when(F.col("_kind").isin(NUMBERS) | text.startswith(MARK), "numeric")
         .when(looks_like_time, "datetime")
         .otherwise("string")
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.documents import as_list, as_map, kind, parse_document
+from gaugeline.functions.documents import as_list, as_map, kind, parse_document, plain_constants, readable
 from gaugeline.functions.staging import staged
 
 TOPIC_PREFIX = "telemetry.raw"
@@ -34,9 +34,13 @@ def normalize_payload(documents: DataFrame, column: str = "document") -> DataFra
     * else the first such object one level down, with the outer scalars;
     * else the object itself; other values give no rows.
 
+    The last of repeated member names counts, at any depth. NaN and infinities,
+    which JSON proper lacks, are read and written as they stand.
+
     All steps are per row, so the job needs no shuffle.
     """
-    rows = staged(documents, _value=parse_document(F.col(column)))
+    rows = staged(documents, _text=readable(F.col(column)))
+    rows = staged(rows, _value=parse_document(F.col("_text")))
     rows = staged(rows, _list=as_list(F.col("_value")), _root=as_map(F.col("_value")))
     rows = staged(
         rows,
@@ -53,7 +57,7 @@ def normalize_payload(documents: DataFrame, column: str = "document") -> DataFra
     )
     # Members are sorted by name here, yet the first one in the text counts.
     nested_names = F.filter(
-        F.json_object_keys(column), lambda name: F.array_contains(F.col("_nested")["key"], name)
+        F.json_object_keys("_text"), lambda name: F.array_contains(F.col("_nested")["key"], name)
     )
     rows = staged(rows, _name=F.when(F.size("_nested") > 1, F.get(nested_names, F.lit(0))))
     named = F.filter("_nested", lambda member: member["key"] == F.col("_name"))
@@ -88,17 +92,19 @@ def normalize_payload(documents: DataFrame, column: str = "document") -> DataFra
         .when(F.col("_columns").isNotNull(), F.transform("_indexes", record_at))
         .when(F.col("_root").isNotNull(), F.array(F.to_json("_value")))
     )
-    return rows.select(*documents.columns, F.posexplode(records).alias("position", "record"))
+    rows = rows.select(*documents.columns, F.posexplode(records).alias("position", "record"))
+    return rows.withColumn("record", plain_constants(F.col("record")))
 
 
 def rejected_documents(documents: DataFrame, column: str = "document") -> DataFrame:
     """The documents that give no record, with a reason.
 
     * ``no text``: null or blank;
-    * ``no JSON``: not readable, repeated names below the top level included;
+    * ``no JSON``: not readable;
     * ``no object``: a scalar, or a list without objects.
     """
-    rows = staged(documents, _value=parse_document(F.col(column)))
+    rows = staged(documents, _text=readable(F.col(column)))
+    rows = staged(rows, _value=parse_document(F.col("_text")))
     rows = staged(rows, _list=as_list(F.col("_value")), _root=as_map(F.col("_value")))
     objects = F.exists("_list", lambda item: kind(item) == "OBJECT")
     reason = (

@@ -191,6 +191,20 @@ def normalize_payload(lens: EventsLens) -> DataFrame:
     )
 
 
+@query
+def normalize_nested_repeats(lens: EventsLens) -> DataFrame:
+    """Records of documents that repeat names in list elements and below the top level."""
+    records = normalize.normalize_payload(lens.nested_repeats)
+    return records.select(
+        "source",
+        "event_id",
+        "position",
+        F.get_json_object("record", "$.id").cast("bigint").alias("id"),
+        F.get_json_object("record", "$.batch").cast("bigint").alias("batch"),
+        F.get_json_object("record", "$.meta").alias("meta"),
+    )
+
+
 @query
 def normalize_rejects(lens: EventsLens) -> DataFrame:
     """Documents without a record, and why."""
@@ -451,6 +465,12 @@ def insights(lens: EventsLens) -> DataFrame:
     return analytics.insights(lens.recent, exact_id=True)
 
 
+@query
+def insights_nested_repeats(lens: EventsLens) -> DataFrame:
+    """Sentences over payloads that repeat names below the top level."""
+    return analytics.insights(lens.repeated_below, exact_id=True)
+
+
 # Pages and series
 
 

@@ -173,7 +173,7 @@ class EventsLens:
 
     @cached_property
     def odd_documents(self) -> DataFrame:
-        """Every event as a response that gives no record in six of seven cases."""
+        """Every event as a response that gives no record in five of seven cases."""
         number = F.pmod("event_id", F.lit(7))
         text = F.col("event_id").cast("string")
         document = (
@@ -192,3 +192,22 @@ class EventsLens:
         """Records whose payload names its temperature twice, first with a text."""
         payload = F.concat(F.lit('{"temperature":"old",'), F.substr("payload", F.lit(2)))
         return self.recent.withColumn("payload", payload)
+
+    @cached_property
+    def nested_repeats(self) -> DataFrame:
+        """Every event as a response that repeats a name in a list element or below the top level."""
+        number, text = F.pmod("event_id", F.lit(3)), F.col("event_id").cast("string")
+        shapes = [
+            ['[{"id":0,"id":', text, '},{"id":-1,"meta":{"a":[1],"a":', text, "}}]"],
+            ['{"batch":', text, ',"hourly":{"id":[1],"id":[', text, ',-2],"id":[', text, ",7]}}"],
+            ['{"id":', text, ',"meta":{"a":{"a":1,"a":2},"a":', text, "}}"],
+        ]
+        texts = [F.concat(*(F.lit(x) if isinstance(x, str) else x for x in shape)) for shape in shapes]
+        document = F.when(number == 0, texts[0]).when(number == 1, texts[1]).otherwise(texts[2])
+        return self.events.select(F.col("event_type").alias("source"), "event_id", document.alias("document"))
+
+    @cached_property
+    def repeated_below(self) -> DataFrame:
+        """Records whose payload repeats names inside a member, two levels down."""
+        payload = F.concat(F.lit('{"meta":{"a":1,"a":[{"b":1,"b":2}]},'), F.substr("payload", F.lit(2)))
+        return self.recent.withColumn("payload", payload)

@@ -211,6 +211,17 @@ SELECT {RECORD_COLUMNS}, {PAYLOAD_COLUMNS} FROM (
 _AGGREGATES = f"WITH {AGGREGATES} SELECT {AGGREGATE_COLUMNS} FROM aggregates"
 _METRICS = f"WITH {METRICS} SELECT {METRIC_COLUMNS} FROM metrics"
 
+_INSIGHTS = f"""WITH {SLICE}, sentences AS (
+        SELECT source, field, 0 AS part, upper(field[1]) || field[2:] || CASE direction
+          WHEN 'Increasing' THEN printf(' increased %.1f%% compared with the previous period.', percentage)
+          WHEN 'Decreasing' THEN printf(' decreased %.1f%% compared with the previous period.', abs(percentage))
+          ELSE ' remained relatively stable.' END AS insight FROM summary
+        UNION ALL SELECT source, field, 1,
+          '⚠ ' || anomalies || ' potential anomalies detected in ' || field || '.'
+          FROM summary WHERE anomalies > 0)
+      SELECT source, row_number() OVER (PARTITION BY source ORDER BY field, part) - 1 AS position, insight
+      FROM sentences"""
+
 ORACLES = {
     "parse_envelope": f"""WITH {LOG} SELECT event_id, source, ingested_at, ingested_ts,
         CASE WHEN shape = 'broken' THEN CAST(7 AS BIGINT) END AS broken_length,
@@ -260,9 +271,19 @@ ORACLES = {
         CASE WHEN run % 4 <> 2 THEN run END AS batch, CAST(NULL AS BIGINT) AS first_id
       FROM placed WHERE run % 4 <> 3
       UNION ALL SELECT source, run, 0, NULL, NULL, run, id FROM placed WHERE run % 4 = 3""",
+    "normalize_nested_repeats": """WITH made AS (
+        SELECT event_type AS source, event_id, 0 AS position, event_id AS id,
+          CASE WHEN event_id % 3 = 1 THEN event_id END AS batch,
+          CASE WHEN event_id % 3 = 2 THEN '{"a":' || event_id || '}' END AS meta
+        FROM events
+        UNION ALL SELECT event_type, event_id, 1, CASE event_id % 3 WHEN 0 THEN -1 ELSE 7 END,
+          CASE WHEN event_id % 3 = 1 THEN event_id END,
+          CASE WHEN event_id % 3 = 0 THEN '{"a":' || event_id || '}' END
+        FROM events WHERE event_id % 3 < 2)
+      SELECT source, event_id, CAST(position AS BIGINT) AS position, CAST(id AS BIGINT) AS id, batch, meta FROM made""",
     "normalize_rejects": """SELECT event_type AS source, event_id, CASE
-        WHEN event_id % 7 < 2 THEN 'no text' WHEN event_id % 7 IN (2, 5) THEN 'no JSON' ELSE 'no object' END AS reason
-      FROM events WHERE event_id % 7 <> 6""",
+        WHEN event_id % 7 < 2 THEN 'no text' WHEN event_id % 7 = 2 THEN 'no JSON' ELSE 'no object' END AS reason
+      FROM events WHERE event_id % 7 < 5""",
     "envelope_build": """SELECT 'telemetry.raw.' || event_type AS topic, event_type AS key,
         CAST(event_id AS VARCHAR) AS event_id, event_type AS source,
         strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ingested_at, event_id AS payload_id,
@@ -350,16 +371,8 @@ ORACLES = {
     "metric_summary_exact_id": f"WITH {SLICE} SELECT * FROM summary",
     "iqr_anomalies": f"WITH {SLICE} SELECT source, field, anomalies FROM summary",
     "half_trend": f"WITH {SLICE} SELECT source, field, direction, percentage FROM summary",
-    "insights": f"""WITH {SLICE}, sentences AS (
-        SELECT source, field, 0 AS part, upper(field[1]) || field[2:] || CASE direction
-          WHEN 'Increasing' THEN printf(' increased %.1f%% compared with the previous period.', percentage)
-          WHEN 'Decreasing' THEN printf(' decreased %.1f%% compared with the previous period.', abs(percentage))
-          ELSE ' remained relatively stable.' END AS insight FROM summary
-        UNION ALL SELECT source, field, 1,
-          '⚠ ' || anomalies || ' potential anomalies detected in ' || field || '.'
-          FROM summary WHERE anomalies > 0)
-      SELECT source, row_number() OVER (PARTITION BY source ORDER BY field, part) - 1 AS position, insight
-      FROM sentences""",
+    "insights": _INSIGHTS,
+    "insights_nested_repeats": _INSIGHTS,
     "records_page": f"""WITH {RECORDS} SELECT {RECORD_COLUMNS}
       FROM {_page('records', 'event_timestamp DESC NULLS FIRST, event_id')}""",
     "records_page_one_source": f"""WITH {RECORDS} SELECT {RECORD_COLUMNS} FROM records
