@@ -20,7 +20,7 @@ from gaugeline.operators.normalize import TOPIC_PREFIX, build_envelopes, normali
 from gaugeline.operators.registry import active_sources
 from gaugeline.operators.summaries import daily_rollup
 from gaugeline.session import build_session
-from gaugeline.sources.keyed import DAILY, METRICS, RECORDS, AGGREGATES, KeyedTable
+from gaugeline.sources.keyed import AGGREGATES, DAILY, METRICS, RECORDS, SNAPSHOTS, KeyedTable
 from gaugeline.sources.readers import file_log, kafka_log, landed_documents, read_registry
 from gaugeline.sources.writers import write_kafka, write_text_log
 from gaugeline.streaming.app import TelemetryApp
@@ -59,9 +59,13 @@ def check(spark: SparkSession, root: str, as_of: datetime, source: str | None =
     require_passed(check_quality_rate(metrics, source))
 
 
-def purge(spark: SparkSession, root: str, as_of: datetime) -> None:
-    """Fold the log of the records table into a new base without expired records."""
-    KeyedTable(spark, f"{root}/records", RECORDS).compact(keep=keep_recent(_moment(as_of)))
+def purge(spark: SparkSession, root: str, as_of: datetime, snapshots: int = SNAPSHOTS) -> None:
+    """Fold the log of the records table into a new base without expired records.
+
+    Frames opened before stay readable until the next purge; with ``snapshots``
+    1 the expired records leave the storage at once.
+    """
+    KeyedTable(spark, f"{root}/records", RECORDS).compact(keep=keep_recent(_moment(as_of)), snapshots=snapshots)
 
 
 def _moment(as_of: datetime) -> Column:
@@ -81,6 +85,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--max-files", type=int, default=MAX_FILES, help="files of the log in a micro-batch")
     parser.add_argument("--max-offsets", type=int, default=MAX_OFFSETS, help="Kafka offsets in a micro-batch")
     parser.add_argument("--min-partitions", type=int, help="tasks that read a Kafka micro-batch at least")
+    parser.add_argument("--snapshots", type=int, default=SNAPSHOTS, help="states of a table that a purge leaves readable")
     parser.add_argument("--once", action="store_true", help="stop when the log is read")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="time of the run, now by default")
     return parser.parse_args()
@@ -116,7 +121,7 @@ def main() -> None:
     elif args.job == "check":
         check(spark, root, as_of, args.source)
     else:
-        purge(spark, root, as_of)
+        purge(spark, root, as_of, args.snapshots)
 
 
 if __name__ == "__main__":

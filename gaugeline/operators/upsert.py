@@ -48,3 +48,28 @@ def merge_into_base(
     known = base.select(*keys).join(newer.select(*keys), keys, "left_semi")
     added = newer.join(known, keys, "left_anti")
     return updated.select(*newer.columns).unionByName(added)
+
+
+def merge_into_buckets(
+    base: DataFrame,
+    delta: DataFrame,
+    buckets: int,
+    keys: list[str],
+    frozen: list[str],
+    mutable: list[str],
+    order: str = "batch_id",
+) -> DataFrame:
+    """``merge_batches`` of a base stored in buckets of its keys and newer batches.
+
+    The newer batches are folded, then dealt to the same buckets; the base stays
+    where it is, so its size costs a scan and no shuffle, and a delta of any size
+    will do. Base and delta are read once. The rows come out by bucket.
+    """
+    newer = merge_batches(delta, keys, frozen, mutable, order).repartition(buckets, *keys)
+    newer = newer.select(*keys, F.struct(*frozen, *mutable).alias("_newer"))
+    older = base.select(*keys, F.struct(*frozen, *mutable).alias("_older"))
+    joined = older.join(newer, keys, "full_outer")
+    first = {name: F.when(F.col("_older").isNotNull(), F.col(f"_older.{name}")).otherwise(F.col(f"_newer.{name}")) for name in frozen}
+    last = {name: F.when(F.col("_newer").isNotNull(), F.col(f"_newer.{name}")).otherwise(F.col(f"_older.{name}")) for name in mutable}
+    wanted = [name for name in base.columns if name in {*keys, *frozen, *mutable}]
+    return joined.select(*[(first | last).get(name, F.col(name)).alias(name) for name in wanted])

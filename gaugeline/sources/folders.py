@@ -26,3 +26,9 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder; one that is gone already is no error, so a repeated call ends alike."""
     files, folder = _files(spark, path)
     files.delete(folder, True)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The bytes of all files below a folder, 0 if there is none; from the file system's own count."""
+    files, folder = _files(spark, path)
+    return files.getContentSummary(folder).getLength() if files.exists(folder) else 0

@@ -1,5 +1,7 @@
 """Partitioned Parquet output and the outgoing event log."""
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 MAX_FILE_ROWS = 5_000_000
@@ -46,6 +48,19 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str]
     writer.parquet(f"{path}/batch_id={batch_id}")
 
 
+def write_buckets(rows: DataFrame, path: str, buckets: int, keys: list[str]) -> None:
+    """Write rows that are partitioned by their keys' buckets, a file a bucket.
+
+    Spark writes buckets only into a table; its name is dropped and the files stay.
+    """
+    name = f"written_{uuid.uuid4().hex}"
+    writer = rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+    try:
+        writer.format("parquet").saveAsTable(name)
+    finally:
+        rows.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def write_kafka(messages: DataFrame, servers: str) -> None:
     """Send ``(topic, key, value)`` messages; needs the Kafka connector."""
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).save()

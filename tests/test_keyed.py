@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -137,3 +138,79 @@ def test_base_is_not_shuffled(spark, tmp_path):
     assert plan.count("Range (0, 200000") == 2
     joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
     assert sorted("LeftOuter" in line for line in joins if "LeftAnti" not in line) == [False, True]
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_reads_base_and_delta_once_and_shuffles_the_delta_alone(table, rows, spark):
+    table.upsert(rows(*((f"k{n}", n % 20) for n in range(200))), 0)
+    table.compact()
+    table.upsert(rows(("k1", 3), ("new", 4)), 1)
+    names = {entry.name for entry in spark.catalog.listTables()}
+    merged = table.latest()
+    assert {entry.name for entry in spark.catalog.listTables()} == names
+    plan = plan_of(merged)
+    assert plan.count("FileScan") == 2 and plan.count("Join") == 1
+    base = next(line for line in plan.splitlines() if "Bucketed: true" in line)
+    before = plan.splitlines()[: plan.splitlines().index(base)]
+    assert not any("Exchange" in line for line in before)
+    assert merged.count() == 201
+
+
+def test_compaction_leaves_the_base_in_its_buckets(table, rows, tmp_path):
+    table.upsert(rows(*((f"k{n}", n % 20) for n in range(300))), 0)
+    table.compact()
+    table.upsert(rows(("k1", 3), ("new", 4)), 1)
+    table.compact()
+    files = [len(list((tmp_path / "records" / "base" / f"version={v}").glob("part-*.parquet"))) for v in (1, 2)]
+    assert files == [8, 8]
+    table.upsert(rows(("k2", 9)), 2)
+    assert "Bucketed: true" in plan_of(table.latest())
+    assert state(table) == {f"k{n}": (f"source-{n % 20}", float(n % 20), float(n % 20)) for n in range(300)} | {
+        "k1": ("source-1", 3.0, 1.0), "k2": ("source-2", 9.0, 2.0), "new": ("source-4", 4.0, 4.0)
+    }
+
+
+def test_buckets_grow_with_the_table(table, rows, monkeypatch):
+    table.upsert(rows(("a", 1), ("b", 2)), 0)
+    table.compact()
+    monkeypatch.setattr("gaugeline.sources.keyed.BUCKET_BYTES", 1000)
+    table.upsert(rows(("b", 3), ("c", 4)), 1)
+    before = state(table)
+    table.compact()
+    assert table._current().buckets > 8 and state(table) == before
+    table.upsert(rows(("a", 5)), 2)
+    assert state(table) == before | {"a": ("source-1", 5.0, 1.0)}
+
+
+def test_frames_opened_before_a_compaction_stay_readable(table, rows):
+    table.upsert(rows(("a", 1)), 0)
+    table.compact()
+    table.upsert(rows(("a", 2), ("b", 2)), 1)
+    opened = table.latest()
+    table.compact(keep=F.col("event_id") == "b")
+    assert sorted(r.event_id for r in opened.collect()) == ["a", "b"]
+    assert set(state(table)) == {"b"}
+    again = table.latest()
+    table.upsert(rows(("c", 1)), 2)
+    table.compact()
+    assert [r.event_id for r in again.collect()] == ["b"]
+    table.vacuum(1)
+    assert table.last_batch() == -1 and set(state(table)) == {"b", "c"}
+
+
+def test_random_histories_equal_plain_upserts(spark, tmp_path, rows):
+    chance = random.Random(4)
+    for trial in range(3):
+        table, want = KeyedTable(spark, str(tmp_path / f"t{trial}"), RECORDS), {}
+        for batch in range(5):
+            values = {f"k{chance.randrange(12)}": chance.randrange(20) for _ in range(6)}
+            table.upsert(rows(*values.items()), batch)
+            for key, t in values.items():
+                first = want.get(key, (f"source-{t}", None, float(t)))
+                want[key] = (first[0], float(t), first[2])
+            if chance.random() < 0.5:
+                table.compact()
+        assert state(table) == want
