@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import count as numbers
 
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm.shingles import mixed
 from gaugeline.llm.storage import stored
-from gaugeline.llm.subword import Generations
 
 MIN_COUNT, LONGEST, TOP = 30, 4, 2000
 #: One document in so many is in the sample; there a phrase needs LOWERED of its share of MIN_COUNT.
@@ -22,21 +22,90 @@ SAMPLE_ONE_IN, LOWERED = 4, 0.6
 HELD = 80
 #: Fixed size of a signature; with more phrases it lets more windows be counted, never fewer.
 SIGNATURE_BITS = 26
-#: Words counted together in a task, and words whose codes a worker remembers.
-FLUSH, CACHE_WORDS = 2**20, 300_000
+#: Bytes of text whose words are coded together, and words counted together in a task.
+BLOCK, FLUSH = 2**19, 2**19
 #: Parts that may be shared by very many phrases, single words, are dealt to so many slots in joins.
 SLOTS = 16
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
-BREAK = b"\xff"  # in no UTF-8 text
-BLANKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", BREAK * 10 + b" ")
+BLANK, BREAK = 0x20, 0xFF  # the second is in no UTF-8 text
+FOLDED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\xff" * 10 + b" ")
+LONG_WORD = re.compile(rb"[^ \xff]{65,}")
 KEYS = ["w1", "w2", "w3", "w4"]
+TABLE = pa.schema([*((key, pa.int64()) for key in KEYS), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 COUNTED = "w1 long, w2 long, w3 long, w4 long, lang string, word string, n long"
 
 
-def pieces_of(text: bytes | None) -> list[bytes]:
-    """Words of a text with A-Z in lower case, BREAK between pieces and at the end."""
-    return [*(text or b"").lower().translate(BLANKS).replace(BREAK, b" \xff ").split(), BREAK]
+def folded(text: bytes | None, long_words: dict[bytes, bytes]) -> bytes:
+    """A text with A-Z in lower case, blanks between words, and a BREAK between pieces and at the end.
+
+    Words above 64 bytes are replaced by shorter names that no text can hold, and
+    ``long_words`` takes them down.
+    """
+
+    def named(match: re.Match) -> bytes:
+        name = b"\xfe" + xxhash.xxh3_128_hexdigest(match[0]).encode()
+        long_words[name] = match[0]
+        return name
+
+    return LONG_WORD.sub(named, (text or b"").translate(FOLDED)) + b"\xff"
+
+
+def blocks_of(data: bytes) -> Iterator[bytes]:
+    """A folded text in parts of at most BLOCK bytes, cut between words."""
+    at = 0
+    while len(data) - at > BLOCK:
+        end = 1 + max(data.rfind(b" ", at, at + BLOCK), data.rfind(b"\xff", at, at + BLOCK))
+        yield data[at:end]
+        at = end
+    yield data[at:]
+
+
+class WordCodes:
+    """64-bit codes of all words of a block at once, in two independent lanes.
+
+    A word's code is a polynomial of its bytes modulo 2**64, mixed with the code
+    of its language. Sums over the block give it for every word without a loop.
+    """
+
+    def __init__(self, salt: int):
+        chance = np.random.default_rng(salt)
+        self.letters = chance.integers(1, 2**64, (2, 256), np.uint64)
+        self.powers, self.inverses = [], []
+        for base in chance.integers(0, 2**61, 2).tolist():
+            base = 8 * base + 3
+            for table, step in ((self.powers, base), (self.inverses, pow(base, -1, 2**64))):
+                steps = np.full(BLOCK + 1, step, np.uint64)
+                steps[0] = 1
+                table.append(np.multiply.accumulate(steps))
+        self.salt = salt
+
+    def language(self, name: str) -> int:
+        return xxhash.xxh3_64_intdigest(name, self.salt)
+
+    def of(self, data: bytes, ends: np.ndarray, langs: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Words and breaks in order: codes (0 for a break), checks by the second lane, start and stop in the data.
+
+        ``ends`` are the ends of the parts of the data, ``langs`` their languages' codes.
+        """
+        low = np.frombuffer(data, np.uint8)
+        inside = (low != BLANK) & (low != BREAK)
+        edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
+        starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        places = np.flatnonzero((edge[:-1] == 1) | (low == BREAK))
+        word = inside[places]
+        lang = langs[np.searchsorted(ends, starts, side="right")]
+        lanes, until = [], places.copy()
+        until[word] = stops
+        for letters, powers, inverses in zip(self.letters, self.powers, self.inverses):
+            sums = np.zeros(len(low) + 1, np.uint64)
+            np.cumsum(letters[low] * powers[: len(low)], out=sums[1:])
+            own = mixed(mixed((sums[stops] - sums[starts]) * inverses[starts]) ^ lang)
+            own[own == 0] = 1
+            lane = np.zeros(len(places), np.uint64)
+            lane[word] = own
+            lanes.append(lane)
+        return *lanes, places, until
 
 
 class Signature:
@@ -123,6 +192,64 @@ def expanded_windows(
     return wanted
 
 
+class CodedStream:
+    """The words of a task's texts as a stream of codes, taken FLUSH at a time.
+
+    The last words of a portion stand before the next one again, so that no
+    window is lost where a long text is cut; ``overlap`` tells how many.
+    """
+
+    def __init__(self, salt: int):
+        self.codes_of = WordCodes(salt)
+        self.parts, self.size = [], 0  # folded blocks that are not coded yet: data, language, long words
+        self.coded, self.words = [], 0
+        self.tail, self.overlap = np.zeros((2, 0), np.uint64), 0
+
+    def add(self, text: bytes | None, lang: str) -> Iterator[None]:
+        """Take up a text; stops whenever a portion is ready to be taken."""
+        long_words: dict[bytes, bytes] = {}
+        for block in blocks_of(folded(text, long_words)):
+            if self.size + len(block) > BLOCK:
+                self.encode()
+            self.parts.append((block, lang, long_words))
+            self.size += len(block)
+            if self.words >= FLUSH:
+                yield
+
+    def encode(self) -> None:
+        if not self.parts:
+            return
+        blocks, langs, long_words = zip(*self.parts)
+        data, ends = b"".join(blocks), np.cumsum([len(block) for block in blocks])
+        numbers = {lang: self.codes_of.language(lang) for lang in set(langs)}
+        found = self.codes_of.of(data, ends, np.array([numbers[lang] for lang in langs], np.uint64))
+        names = {name: word for own in long_words for name, word in own.items()}
+        self.coded.append((data, ends, langs, names, *found))
+        self.words += len(found[0])
+        self.parts, self.size = [], 0
+
+    def take(self):
+        """Codes and checks of the portion, and a function from places to their languages and words."""
+        coded = self.coded
+        lanes = [np.concatenate([self.tail[k], *(part[4 + k] for part in coded)]) for k in (0, 1)]
+        self.overlap = self.tail.shape[1]
+        borders = self.overlap + np.cumsum([0, *(len(part[4]) for part in coded)])
+
+        def spelled(places: np.ndarray) -> tuple[pa.Array, pa.Array]:
+            own, words, names = np.searchsorted(borders, places, side="right") - 1, np.empty(len(places), object), np.empty(len(places), object)
+            for k, (data, ends, langs, long_words, _, _, starts, stops) in enumerate(coded):
+                here = np.flatnonzero(own == k)
+                at = places[here] - borders[k]
+                found = [data[a:b] for a, b in zip(starts[at].tolist(), stops[at].tolist())]
+                words[here] = [long_words.get(word, word) for word in found] if long_words else found
+                names[here] = [langs[i] for i in np.searchsorted(ends, starts[at], side="right").tolist()]
+            return pa.array(names, pa.string()), pa.array(words, pa.binary()).cast(pa.string())
+
+        self.tail = np.stack([lane[max(len(lane) - 3, 0) :] for lane in lanes])
+        self.coded, self.words = [], 0
+        return *lanes, spelled
+
+
 def count_windows(docs: DataFrame, salt: int, chosen, lengths: range) -> DataFrame:
     """Occurrences of chosen windows: (w1 .. w4, lang, word, n); words unused are 0.
 
@@ -133,61 +260,40 @@ def count_windows(docs: DataFrame, salt: int, chosen, lengths: range) -> DataFra
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code_of = Generations(lambda word: 0 if word == BREAK else xxhash.xxh3_64_intdigest(word, salt) or 1, CACHE_WORDS)
-        held, words, langs, kinds, size = [], [], [], {}, 0
-        table_schema = pa.schema([*((key, pa.int64()) for key in KEYS), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            codes = np.concatenate(held)
-            hashes = window_hashes(codes, max(lengths))
-            for length, places in zip(numbers(1), chosen(codes, hashes)):
-                if length not in lengths or not places.any():
-                    continue
-                starts = np.flatnonzero(places)
-                starts = starts[np.argsort(hashes[length - 1][starts])]
-                columns = [codes[starts + k] for k in range(length)]
-                new = np.ones(len(starts), bool)
-                new[1:] = np.any([x[1:] != x[:-1] for x in columns], axis=0)
-                first = np.flatnonzero(new)
-                often = np.diff([*first, len(starts)])
-                out = [pa.array(x[first].view(np.int64)) for x in columns]
-                out += [pa.array(np.zeros(len(first), np.int64))] * (4 - length)
-                lang = word = pa.nulls(len(first), pa.string())
-                if length == 1:
-                    sizes = np.array([len(own) for own in words])
-                    ends = np.cumsum(sizes)
-                    row = np.searchsorted(ends, starts[first], side="right")
-                    at = starts[first] - (ends - sizes)[row]
-                    lang = pa.array([langs[k] for k in row], pa.string())
-                    word = pa.array([words[k][i] for k, i in zip(row.tolist(), at.tolist())], pa.binary()).cast(pa.string())
-                    if len(first) != sum(map(len, kinds.values())):  # two words share a code
-                        yield pa.RecordBatch.from_pylist([dict.fromkeys([*KEYS, "n"], 0) | {"lang": "", "word": ""}], table_schema)
-                table = pa.RecordBatch.from_arrays([*out, lang, word, pa.array(often)], schema=table_schema)
-                for low in range(0, table.num_rows, 65536):
-                    yield table.slice(low, 65536)
-            for kept in (held, words, langs, kinds):
-                kept.clear()
-
+        stream = CodedStream(salt)
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1)):
-                own, lang = pieces_of(text.as_py()), lang.as_py()
-                codes = np.fromiter(map(code_of.__getitem__, own), np.uint64, len(own))
-                gaps = codes == 0
-                codes = mixed(codes ^ np.uint64(xxhash.xxh3_64_intdigest(lang, ~salt % 2**64)))
-                codes[codes == 0] = 1
-                codes[gaps] = 0
-                held.append(codes)
-                if 1 in lengths:
-                    words.append(own)
-                    langs.append(lang)
-                    kinds.setdefault(lang, set()).update(own)
-                    kinds[lang].discard(BREAK)
-                size += len(own)
-                if size >= FLUSH:
-                    yield from flush()
-                    size = 0
-        if held:
-            yield from flush()
+                for _ in stream.add(text.as_py(), lang.as_py()):
+                    yield from counted(stream)
+        stream.encode()
+        yield from counted(stream)
+
+    def counted(stream: CodedStream) -> Iterator[pa.RecordBatch]:
+        codes, checks, spelled = stream.take()
+        old = stream.overlap
+        hashes = window_hashes(codes, max(lengths))
+        for length, places in zip(numbers(1), chosen(codes, hashes)):
+            if length not in lengths:
+                continue
+            starts = np.flatnonzero(places)
+            starts = starts[starts + length > old]  # windows that end before were counted by the last call
+            if not len(starts):
+                continue
+            starts = starts[np.argsort(hashes[length - 1][starts])]
+            columns = [codes[starts + k] for k in range(length)]
+            new = np.ones(len(starts), bool)
+            new[1:] = np.any([x[1:] != x[:-1] for x in columns], axis=0)
+            first = np.flatnonzero(new)
+            out = [pa.array(x[first].view(np.int64)) for x in columns]
+            out += [pa.array(np.zeros(len(first), np.int64))] * (4 - length)
+            lang = word = pa.nulls(len(first), pa.string())
+            if length == 1:
+                lang, word = spelled(starts[first])
+                if (checks[starts][1:] != checks[starts][:-1])[~new[1:]].any():  # two words share a code
+                    yield pa.RecordBatch.from_pylist([dict.fromkeys([*KEYS, "n"], 0) | {"lang": "", "word": ""}], TABLE)
+            table = pa.RecordBatch.from_arrays([*out, lang, word, pa.array(np.diff([*first, len(starts)]))], schema=TABLE)
+            for low in range(0, table.num_rows, 65536):
+                yield table.slice(low, 65536)
 
     texts = docs.select(F.col("text").cast("string").cast("binary"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     return texts.mapInArrow(work, COUNTED).groupBy(*KEYS, "lang", "word").agg(F.sum("n").alias("n"))

@@ -7,7 +7,19 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from gaugeline.llm.phrases import Signature, mine_phrases, phrase_hashes, pieces_of, proposed_windows, top_collocations, window_hashes
+from gaugeline.llm.phrases import (
+    BLOCK,
+    CodedStream,
+    Signature,
+    WordCodes,
+    blocks_of,
+    folded,
+    mine_phrases,
+    phrase_hashes,
+    proposed_windows,
+    top_collocations,
+    window_hashes,
+)
 
 SCHEMA = "doc_id long, text string, lang string, phrase string, n long, word string, w1 long"
 
@@ -100,9 +112,64 @@ def test_empty_tables_and_rare_phrases_give_no_rows(spark):
     assert top_collocations(table(spark, [(1, "a b a b", "en"), (2, None, None)])).count() == 0
 
 
-def test_pieces_and_windows_of_codes():
-    assert pieces_of("A\tb, Ünï  c\x0bD".encode()) == [b"a", b"b", b"\xff", "Ünï".encode(), b"c", b"\xff", b"d", b"\xff"]
-    assert pieces_of(None) == [b"\xff"]
+def coded(texts, salt=0):
+    """Codes of a stream of (text, lang) and the words they stand for."""
+    stream, out = CodedStream(salt), []
+    for text, lang in texts:
+        for _ in stream.add(None if text is None else text.encode(), lang):
+            out.append(stream.take())
+    stream.encode()
+    out.append(stream.take())
+    rows = []
+    for codes, checks, spelled in out:
+        langs, words = spelled(np.flatnonzero(codes))
+        told = iter(zip(langs.to_pylist(), words.to_pylist()))
+        rows += [(int(a), int(b), *(next(told) if a else (None, None))) for a, b in zip(codes, checks)]
+    return rows
+
+
+def test_codes_name_words_of_a_language():
+    rows = coded([("A\tb, Ünï  c\x0bD", "en"), (None, "en"), ("b a en de", "de"), ("de en", "en"), ("ab ba abab baba", "en")])
+    assert [row[3] for row in rows] == ["a", "b", None, "Ünï", "c", None, "d", None, None, "b", "a", "en", "de", None, "de", "en", None, "ab", "ba", "abab", "baba", None]
+    for lane in (0, 1):
+        by_code = {}
+        for row in rows:
+            by_code.setdefault(row[lane], set()).add(row[2:])
+        assert all(len(names) == 1 for names in by_code.values())
+        assert len(by_code) == len({row[2:] for row in rows})
+    assert rows == coded([("A\tb, Ünï  c\x0bD", "en"), (None, "en"), ("b a en de", "de"), ("de en", "en"), ("ab ba abab baba", "en")])
+    assert rows[0][0] != coded([("a", "en")], salt=1)[0][0]
+
+
+def test_long_words_and_texts_of_several_blocks():
+    long = "X" * 70_000
+    text = " ".join([long, "y" * 64, "y" * 65, "y" * 66, *(f"w{k}" for k in range(300_000)), long])
+    names = {}
+    data = folded(text.encode(), names)
+    blocks = list(blocks_of(data))
+    assert len(blocks) > 2 and b"".join(blocks) == data and max(map(len, blocks)) <= BLOCK
+    assert len(names) == 3
+    stream = CodedStream(0)
+    seen, words = [], []
+    for _ in stream.add(text.encode(), "en"):
+        codes, _, spelled = stream.take()
+        seen.append(codes[stream.overlap :])
+    stream.encode()
+    codes, _, spelled = stream.take()
+    seen.append(codes[stream.overlap :])
+    assert len(np.concatenate(seen)) == len(text.split()) + 1
+    assert spelled(np.array([len(codes) - 2]))[1].to_pylist() == [long.lower()]
+    assert seen[0][0] == codes[-2] and len(set(np.concatenate(seen).tolist())) == 300_005
+
+
+def test_equal_words_have_equal_codes_wherever_they_stand():
+    own = WordCodes(3)
+    data = b"aa b aa\xffaa aa b\xff"
+    codes = own.of(data, np.array([8, len(data)]), np.array([1, 2], np.uint64))[0]
+    assert codes[0] == codes[2] != codes[4] == codes[5] and codes[1] != codes[6] and codes[3] == codes[7] == 0
+
+
+def test_windows_of_codes():
     codes = np.array([5, 7, 0, 7, 5, 7, 9, 0], np.uint64)
     hashes = window_hashes(codes, 3)
     assert [len(x) for x in hashes] == [8, 7, 6]
