@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
+from itertools import accumulate
 from math import log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Comments, declarations and tags; a quote opens a string only where a value begins.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)*+)(?:>|\Z)",
+    re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
+ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 NAME_WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 #: Elements whose content is no markup, and elements without content.
@@ -42,7 +47,13 @@ MARKS = frozenset(
     " consent contentinfo cookie cookies copyright dialog disclaimer discussion disqus footer gdpr hidden login masthead menu modal nav"
     " navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion recommended"
     " related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser"
-    " toolbar widget".split()
+    " toolbar".split()
+)
+#: Words that may stand beside a mark in a name without taking away its meaning.
+BESIDE = frozenset(
+    "area bar block body box btn button buttons container content entry footer form global group header holder inner item items left"
+    " link links list main module outer page panel post posts primary reader right row secondary section site text thread title top user"
+    " widget widgets wrap wrapper".split()
 )
 HOLDERS = frozenset(("article", "main"))
 #: Elements of an article whose id and label name their subject.
@@ -73,42 +84,95 @@ class Page:
     elements: list[Element] = field(default_factory=list)
 
 
+def _marked_name(name: str) -> bool:
+    """Whether a name such as ``comment-list`` is made of marks; ``ad-free`` and ``social-history`` are not."""
+    words = {w.lower() for w in NAME_WORD.findall(name)}
+    return not MARKS.isdisjoint(words) and words <= MARKS | BESIDE
+
+
 def _marks(attributes: str, name_of: str, held: bool) -> bool:
     """Whether an element's attributes say that it is not article.
 
-    Inside an article or main element (``held``), an id or label says so only
-    by marks alone, as in id="comments", and never on a heading or section.
+    A class or role says so by one whole name; an id or label by all its words.
+    Inside an article or main element (``held``), an id or label says so only by
+    marks alone, as in id="comments", and never on a heading or section.
     """
-    words: set[str] = set()
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
-        if name in ("class", "id", "role", "itemprop", "data-role", "aria-label"):
-            own = {w.lower() for w in NAME_WORD.findall(value)}
-            if not held or name not in ("id", "aria-label") or name_of not in SUBJECTS and own <= MARKS:
-                words |= own
+        if name in ("class", "role", "itemprop", "data-role"):
+            if any(map(_marked_name, value.split())):
+                return True
+        elif name in ("id", "aria-label"):
+            words = {w.lower() for w in NAME_WORD.findall(value)}
+            if words and words <= MARKS and not (held and name_of in SUBJECTS) or not held and _marked_name(value):
+                return True
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-    return not MARKS.isdisjoint(words)
+    return False
+
+
+class OpenElements:
+    """The elements open at a place, and the places on that stack of each name, of blocks and of holders.
+
+    Every step takes constant time but for the elements it closes.
+    """
+
+    def __init__(self, close):
+        self.stack, self.close = [], close
+        self.named: dict[str, list[int]] = {}
+        self.blocks, self.holders = [], []
+
+    def _lists(self, name: str) -> list[list[int]]:
+        lists = [self.named.setdefault(name, [])]
+        if name in BLOCKS:
+            lists.append(self.blocks)
+        if name in HOLDERS:
+            lists.append(self.holders)
+        return lists
+
+    def push(self, element: Element) -> None:
+        for places in self._lists(element.name):
+            places.append(len(self.stack))
+        self.stack.append(element)
+
+    def pop_to(self, place: int) -> None:
+        """Close everything from the top down to a place on the stack."""
+        while len(self.stack) > place:
+            element = self.stack.pop()
+            for places in self._lists(element.name):
+                places.pop()
+            self.close(element)
+
+    def last(self, name: str) -> int:
+        places = self.named.get(name)
+        return places[-1] if places else -1
+
+    def end(self, name: str) -> None:
+        """An end tag; a stray one does not end the article around it."""
+        place = self.last(name)
+        inside = not self.holders or place >= self.holders[-1] or name in HOLDERS or name in ("body", "html")
+        if place >= 0 and inside:
+            self.pop_to(place)
+
+    def make_room(self, name: str) -> None:
+        """Close what a start tag closes: an open paragraph, or an item of its own kind, if no block lies between."""
+        place = max(self.last("p") if name in BLOCKS else -1, self.last(name) if name in CLOSED_BY_OWN else -1)
+        if place >= 0 and place >= (self.blocks[-1] if self.blocks else -1):
+            self.pop_to(place)
 
 
 def read_page(html: str) -> Page:
-    """Cut a page into texts and tags; end tags that are missing or stray are made good."""
+    """Cut a page into texts and tags; end tags that are missing or stray are made good. Linear in the page."""
     page = Page()
-    events, opened = page.events, []
+    events = page.events
 
     def close(element: Element) -> None:
         element.end = len(events)
         events.append(("end", element))
 
-    def close_until(element: Element) -> None:
-        while opened:
-            last = opened.pop()
-            close(last)
-            if last is element:
-                break
-
+    opened = OpenElements(close)
     at = 0
     while match := TOKEN.search(html, at):
         if match.start() > at:
@@ -118,24 +182,10 @@ def read_page(html: str) -> Page:
             continue
         name = match[2].lower()
         if match[1]:
-            for element in reversed(opened):
-                if element.name == name:
-                    close_until(element)
-                    break
-                if element.name in HOLDERS and name not in HOLDERS and name not in ("body", "html"):
-                    break  # a stray end tag does not end the article around it
+            opened.end(name)
             continue
-        if name in BLOCKS or name in CLOSED_BY_OWN:
-            for element in reversed(opened):
-                if element.name in CLOSED_BY_BLOCK and name in BLOCKS or element.name == name and name in CLOSED_BY_OWN:
-                    close_until(element)
-                    break
-                if element.name in BLOCKS:
-                    break
-        marked = bool(match[3]) and _marks(match[3], name, False)
-        if marked and any(e.name in HOLDERS for e in opened):
-            marked = _marks(match[3], name, True)
-        element = Element(name, len(events), marked, name == "a")
+        opened.make_room(name)
+        element = Element(name, len(events), bool(match[3]) and _marks(match[3], name, bool(opened.holders)), name == "a")
         page.elements.append(element)
         events.append(("start", element))
         if name in VOID or match[3].endswith("/") and name not in BLOCKS and name not in RAW:
@@ -145,14 +195,14 @@ def read_page(html: str) -> Page:
             at = end.end() if end else len(html)
             close(element)
         else:
-            opened.append(element)
+            opened.push(element)
     if at < len(html):
         events.append(("text", html[at:]))
-    while opened:
-        close(opened.pop())
+    opened.pop_to(0)
     holders = [e.start for e in page.elements if e.name in HOLDERS]
     for element in page.elements:
-        element.holds = any(element.start < x < element.end for x in holders)
+        after = bisect_right(holders, element.start)
+        element.holds = after < len(holders) and holders[after] < element.end
     return page
 
 
@@ -186,8 +236,8 @@ def scored_events(page: Page, weights: dict[str, float]) -> list[tuple[int, floa
             out.append((place, weights.get(value.name, _tag_weight(value.name)), holders > 0))
             holders -= value.name in HOLDERS
             links -= value.link
-        elif not skipped and (words := len(value.split())):
-            out.append((place, words * weights.get("#link" if links else "#word", LINK_WORD if links else WORD), holders > 0))
+        elif not skipped:  # blanks alone score nothing, but part words
+            out.append((place, len(value.split()) * weights.get("#link" if links else "#word", LINK_WORD if links else WORD), holders > 0))
     return out
 
 
@@ -214,7 +264,9 @@ def main_text(html: str | None, weights: dict[str, float]) -> str:
     found = best_stretch(scores)
     if not found:
         return ""
-    words = lambda low, high: sum(s for p, s, _ in scores if low <= p <= high and page.events[p][0] == "text")
+    places = [p for p, _, _ in scores]
+    sums = [0.0, *accumulate(s if page.events[p][0] == "text" else 0.0 for p, s, _ in scores)]
+    words = lambda low, high: sums[max(bisect_right(places, high), bisect_left(places, low))] - sums[bisect_left(places, low)]
     holders = [e for e in page.elements if e.name in HOLDERS and e.start <= found[1] and e.end >= found[0]]
     for name in ("article", "main"):
         own = [e for e in holders if e.name == name]
@@ -311,7 +363,10 @@ def extract_text(pages: DataFrame, weights: dict[str, float] | None = None) -> D
     """Per row of ``pages``: page_id, url, text, n_chars.
 
     Null or empty html: an empty text. Repeated rows: each its own. Null page_id
-    or url: kept. No labelled pages: the weights that are set beforehand.
+    or url: kept. No labelled pages: the weights that are set beforehand. Pages of
+    any length are read whole, in time linear in their length but for sorting. Of
+    stretches with equal sums the first counts. Empty table: no rows. Other columns
+    play no part, whatever their names.
     """
     weights = learn_weights(pages) if weights is None else weights
 
