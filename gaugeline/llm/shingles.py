@@ -1,4 +1,4 @@
-"""Words and two-word shingles of texts as 64-bit codes."""
+"""Words and word shingles of texts as 64-bit codes."""
 
 from __future__ import annotations
 
@@ -33,11 +33,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_codes(words: list[bytes], codes: WordCodes) -> np.ndarray:
-    """Sorted codes of the distinct two-word shingles; a single word is one shingle."""
+def shingle_codes(words: list[bytes], codes: WordCodes, width: int = 2) -> np.ndarray:
+    """Sorted codes of the distinct shingles of ``width`` words; fewer words are one shingle."""
     x = codes.of(words)
+    width = min(width, len(x))
     if len(x) > 1:
-        x = mixed(x[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(x[1:]))
-        x.sort()
+        last = len(x) - width + 1
+        out = x[:last]
+        for k in range(1, width):
+            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + mixed(x[k : last + k]))
+        x = np.sort(out)
         x = x[np.concatenate(([True], x[1:] != x[:-1]))]
     return x

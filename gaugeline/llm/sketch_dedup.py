@@ -17,6 +17,10 @@ from gaugeline.llm.storage import stored
 #: A pair at the limit of 0.8 agrees in a band of 5 with 0.33 and misses all 32 bands in 3 of a million cases.
 BANDS, BAND_ROWS = 32, 5
 PERCENT = 80
+#: Words in a shingle: of the pipeline's stage, and of the registered query.
+STAGE_WIDTH, WIDTH = 5, 2
+#: Stand-ins for doc_ids that stand at several texts begin here.
+STAND_IN = 2**62
 #: Rounds of pivots before what they leave open is compared in chunks.
 PIVOT_ROUNDS = 6
 #: Chunk visits, in multiples of the bucket rows, up to which no further round of pivots is worthwhile.
@@ -61,7 +65,7 @@ def band_keys(sketch: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     return key
 
 
-def sketch_documents(docs: DataFrame) -> DataFrame:
+def sketch_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, content, bands): content names the set; both are null for an empty set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,7 +75,7 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
                 part = batch.slice(at, 512)
                 sizes, contents, bands = [], [], []
                 for text in part.column(1).to_pylist():
-                    own = shingle_codes(words_of(text), codes)
+                    own = shingle_codes(words_of(text), codes, width)
                     sizes.append(len(own))
                     if len(own):
                         contents.append(blake2b(own.tobytes(), digest_size=16).digest())
@@ -89,7 +93,7 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def shingle_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def shingle_sets(nodes: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(node, codes) of the documents named by ``nodes`` (node), the codes as bytes."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +101,7 @@ def shingle_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                own = [shingle_codes(words_of(x), codes).tobytes() for x in part.column(1).to_pylist()]
+                own = [shingle_codes(words_of(x), codes, width).tobytes() for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())], names=["node", "codes"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
@@ -208,7 +212,7 @@ def chunk_links(open_rows: DataFrame, sets: DataFrame, percent: int = PERCENT) -
     return rows.mapInArrow(compare, "a long, b long").distinct()
 
 
-def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """(node, component) of all classes (node, n_shingles, bands) that are linked with another.
 
     Members of a bucket are compared with one pivot, the member that shares
@@ -225,7 +229,7 @@ def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> D
     known = classes.select("node", "n_shingles")
     buckets = stored(buckets.drop("size").join(degree.join(known, "node"), "node"), "buckets-ranked")
     bucket_rows = buckets.count()
-    sets = shingle_sets(buckets.select("node").distinct(), docs)  # one pass over the texts
+    sets = shingle_sets(buckets.select("node").distinct(), docs, width)  # one pass over the texts
     empty = docs.sparkSession.createDataFrame([], "a long, b long")
     links, tested, found = empty, empty, docs.sparkSession.createDataFrame([], "node long, component long")
     open_rows = buckets.withColumn("component", F.col("node"))
@@ -267,23 +271,25 @@ def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> D
     return found
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
-    Two-word shingles of lower-cased (A-Z) words; a pair is linked if 100 *
-    intersection >= percent * union on the full sets. Rows of equal sets are one
-    class, whatever their number. Null or empty text: no shingles, linked with
-    nothing, kept. Null doc_id: component_id null, linked with nothing, kept.
-    Repeated rows: equal results, and all of them kept or none. Ties: the
-    smallest doc_id is kept. Empty table: no rows.
+    Shingles of ``width`` lower-cased (A-Z) words, a shorter text being one; a pair
+    is linked if 100 * intersection >= percent * union on the full sets. Rows of
+    equal sets are one class, whatever their number. Null or empty text: no
+    shingles, linked with nothing, kept. Null doc_id: component_id null, linked
+    with nothing, kept. Repeated rows: equal results, and all of them kept or none;
+    a doc_id at different texts is one document. Ties: the smallest doc_id is kept.
+    Texts of any length are taken whole. Empty table: no rows. Other columns play
+    no part, whatever their names.
     """
-    sketches = stored(sketch_documents(docs), "sketches")
+    sketches = stored(sketch_documents(docs, width), "sketches")
     filled = sketches.where(F.col("content").isNotNull() & F.col("doc_id").isNotNull())
     classes = filled.groupBy("content").agg(
         F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands")
     )
     classes = stored(classes, "classes")
-    found = find_links(classes, docs, percent)
+    found = find_links(classes, docs, percent, width)
     named = classes.select("content", "node").join(found, "node", "left")
     named = named.select("content", F.coalesce("component", "node").alias("component_id"))
     ids = sketches.select("doc_id", "n_shingles", "content")
@@ -294,16 +300,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def remove_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row of each group stays, all columns; rows without words or without a doc_id stay."""
-    result = stored(near_duplicates(docs, percent), "near-duplicates")
+def remove_near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = STAGE_WIDTH) -> DataFrame:
+    """One row of each group stays, all columns; rows without words or without a doc_id stay.
+
+    Decided by doc_id and text, so that a text is only lost where a copy of it, near
+    or exact, stays: a doc_id that stands at several texts keeps its name for the
+    first of them by digest and has stand-ins, 64-bit hashes, for the others. Of equal
+    rows with a doc_id one stays. Ties: the smallest doc_id stays, a stand-in last.
+    Empty table: no rows. Columns may have any names.
+    """
+    key, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    digest = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    whole = docs.select(key.alias("key"), text.alias("text"), digest.alias("digest"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    first = whole.groupBy("key").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).where("first < last")
+    several = stored(first.select("key", "first"), "ids-of-several-texts")
+    stand_in = F.lit(STAND_IN) + F.shiftrightunsigned(F.xxhash64("key", "digest"), 2)
+    named = whole.join(several, "key", "left").select(
+        F.when(F.col("digest") > F.col("first"), stand_in).otherwise(F.col("key")).alias("doc_id"), "text", "whole"
+    )
+    result = stored(near_duplicates(named.select("doc_id", "text"), percent, width), "near-duplicates")
     lost = result.where(~F.col("kept")).select("doc_id").distinct()
     twice = result.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
-    whole = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
-    )
-    single = whole.join(lost.union(twice), "doc_id", "left_anti")
+    single = named.join(lost.union(twice), "doc_id", "left_anti")
     turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    repeated = whole.join(twice, "doc_id", "left_semi").withColumn("turn", turn).where("turn = 1")
+    repeated = named.join(twice, "doc_id", "left_semi").withColumn("turn", turn).where("turn = 1")
     return single.select("whole.*").unionByName(repeated.select("whole.*"))

@@ -22,11 +22,12 @@ class Sets:
         self.up[max(a, b)] = min(a, b)
 
 
-def near_duplicates(texts):
+def near_duplicates(texts, width=2):
     sets = {}
     for doc_id, text in texts.items():
         words = (text or "").encode().lower().split()
-        sets[doc_id] = set(zip(words, words[1:])) if len(words) > 1 else {tuple(words)} - {()}
+        n = min(width, len(words))
+        sets[doc_id] = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} - {()}
     groups = Sets(texts)
     for a in texts:
         for b in texts:
