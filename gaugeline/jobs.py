@@ -1,11 +1,12 @@
 """Jobs for ``spark-submit``: ``python -m gaugeline.jobs <job> --root <folder> ...``.
 
 ``ingest`` turns landed API documents into log messages, ``stream`` runs the
-streaming application, ``daily``, ``check`` and ``purge`` are for a scheduler.
+streaming application, ``daily``, ``check``, ``purge`` and ``compact`` are for a
+scheduler.
 """
 
 import argparse
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ from gaugeline.streaming.app import TelemetryApp
 
 #: Bounds of a micro-batch of the streaming job, and of the tasks that read it.
 MAX_FILES, MAX_OFFSETS = 1000, 5_000_000
+#: An hour of the lake is closed when it ended so long ago; the watermarks are shorter.
+CLOSED_AFTER = timedelta(hours=1)
 
 
 def active_documents(documents: DataFrame, registry: DataFrame | None = None) -> DataFrame:
@@ -68,13 +71,20 @@ def purge(spark: SparkSession, root: str, as_of: datetime, snapshots: int = SNAP
     KeyedTable(spark, f"{root}/records", RECORDS).compact(keep=keep_recent(_moment(as_of)), snapshots=snapshots)
 
 
+def compact_lakes(spark: SparkSession, root: str, as_of: datetime, delay: timedelta = CLOSED_AFTER) -> None:
+    """Gather the hours of the raw lake that ended ``delay`` before ``as_of``, and the quarantine, into few files."""
+    app = TelemetryApp(spark, lambda: None, root)
+    app.raw_lake.compact(as_of - delay)
+    app.quarantine_lake.compact()
+
+
 def _moment(as_of: datetime) -> Column:
     return F.timestamp_micros(F.lit(int(as_of.timestamp() * 1_000_000)))
 
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=["ingest", "stream", "daily", "check", "purge"])
+    parser.add_argument("job", choices=["ingest", "stream", "daily", "check", "purge", "compact"])
     parser.add_argument("--root", required=True, help="folder of lake, tables and checkpoints")
     parser.add_argument("--log", help="folder of the file log")
     parser.add_argument("--kafka", help="bootstrap servers, instead of --log")
@@ -120,6 +130,8 @@ def main() -> None:
         daily(spark, root, as_of)
     elif args.job == "check":
         check(spark, root, as_of, args.source)
+    elif args.job == "compact":
+        compact_lakes(spark, root, as_of)
     else:
         purge(spark, root, as_of, args.snapshots)
 

@@ -110,3 +110,10 @@ def constraint_report(
         F.coalesce(F.sum(repeats), F.lit(0)).alias(unique),
     )
     return totals.unpivot([], [*checks, unique], "rule", "violations")
+
+
+def broken_constraints(required: list[str], ranges: dict[str, tuple[float, float]] | None = None) -> Column:
+    """The names of the row constraints that a row breaks, comma-joined; empty if it may be stored."""
+    rules = [F.when(F.col(name).isNull(), f"not_null_{name}") for name in required]
+    rules += [F.when(_outside(F.col(name), span), f"range_{name}") for name, span in (ranges or {}).items()]
+    return F.concat_ws(",", *rules)

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions.numbers import percentage, seconds_between, stable_round
-from gaugeline.operators.windows import quality_rate
+from gaugeline.operators.windows import quality_rate, quality_windows
 from gaugeline.operators.ranking import latest_per_key
 
 
@@ -84,16 +84,47 @@ def _for_sources(cards: DataFrame, registry: DataFrame | None) -> DataFrame:
     return registry.select(F.col("name").alias("source")).join(cards, "source", "left")
 
 
+def source_facts(records: DataFrame, metrics: DataFrame) -> DataFrame:
+    """One row per source from the serving tables: its number of records and its newest metrics.
+
+    Both sides are one row per source before they meet.
+    """
+    newest = F.struct(*[name for name in metrics.columns if name != "source"])
+    measured = latest_metrics(metrics).select("source", newest.alias("newest"))
+    return source_counts(records).join(measured, "source", "full_outer")
+
+
+def log_facts(flagged: DataFrame) -> DataFrame:
+    """``source_facts`` of a log in which no event is sent twice, from one pass over it.
+
+    The windows of the metrics are the finer grain: a source's records are the
+    valid rows of its windows, and its newest metrics the last of them. So two
+    aggregations follow one another, and the log is read and parsed once.
+    """
+    windows = quality_windows(flagged)
+    newest = F.struct(*[name for name in windows.columns if name != "source"])
+    return windows.groupBy("source").agg(
+        F.sum("valid_records").alias("total_records"), F.max_by(newest, "run_timestamp").alias("newest")
+    )
+
+
 def source_quality(
     records: DataFrame, metrics: DataFrame, registry: DataFrame | None = None
 ) -> DataFrame:
-    """Quality card per source: all-time valid count with the newest counters.
+    """Quality card per source: all-time valid count with the newest counters."""
+    return quality_cards(source_facts(records, metrics), registry)
 
-    Both sides are one row per source before they meet.
-    """
-    newest = latest_metrics(metrics).withColumn("_measured", F.lit(True))
-    newest = newest.drop("total_records", "valid_records", "quality_rate")
-    cards = _for_sources(source_counts(records).join(newest, "source", "full_outer"), registry)
+
+def quality_cards(facts: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """Quality card per source from ``source_facts`` or ``log_facts``."""
+    counters = ["invalid_records", "duplicate_records", "null_violations", "range_violations"]
+    cards = facts.select(
+        "source",
+        "total_records",
+        F.col("newest").isNotNull().alias("_measured"),
+        *[F.col(f"newest.{name}").alias(name) for name in counters],
+    )
+    cards = _for_sources(cards, registry)
     zero = F.lit(0).cast("bigint")
 
     def counter(name: str) -> Column:
@@ -127,14 +158,18 @@ def source_kpis(
     registry: DataFrame | None = None,
 ) -> DataFrame:
     """KPI card per source; ``recent`` is the newest slice of its records."""
+    return kpi_cards(source_facts(records, metrics), recent, as_of, registry)
+
+
+def kpi_cards(facts: DataFrame, recent: DataFrame, as_of: Column, registry: DataFrame | None = None) -> DataFrame:
+    """KPI card per source from ``source_facts`` or ``log_facts`` and the newest slice of its records."""
     span = recent.groupBy("source").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.min("processed_at").alias("_first"),
         F.max("processed_at").alias("_last"),
     )
-    rates = latest_metrics(metrics).select("source", "quality_rate")
-    cards = source_counts(records).join(span, "source", "left").join(rates, "source", "full_outer")
-    cards = _for_sources(cards, registry)
+    counts = facts.select("source", "total_records", F.col("newest.quality_rate").alias("quality_rate"))
+    cards = _for_sources(counts.join(span, "source", "left"), registry)
     elapsed = seconds_between(F.col("_first"), F.col("_last"))
     rate = F.when((F.col("_rows") > 1) & (elapsed > 0), F.round(F.col("_rows") / elapsed, 2))
     return cards.select(

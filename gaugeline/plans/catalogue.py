@@ -1,8 +1,9 @@
 """The registered queries: each operator over the whole ``events`` table."""
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -13,13 +14,17 @@ from gaugeline.operators.parse import parse_envelopes, raw_lake_rows
 from gaugeline.operators.ranking import first_per_key
 from gaugeline.operators.upsert import merge_batches
 from gaugeline.operators.windows import count_duplicates
-from gaugeline.plans.lens import PAGE_AFTER, EventsLens, as_of, processing_time
+from gaugeline.plans.lens import DEEP, MANY_BATCHES, PAGE_AFTER, EventsLens, as_of, processing_time
 from gaugeline.session import work_folder
 from gaugeline.sources.keyed import RECORDS, KeyedTable
+from gaugeline.sources.lake import BatchLake
 from gaugeline.sources.readers import file_log, read_lake
 from gaugeline.sources.writers import write_lake, write_text_log
 from gaugeline.streaming.app import TelemetryApp
 
+#: Times of the two compactions of ``lake_compacted``.
+CLOSED_BEFORE = [datetime(2024, 1, 10), datetime(2024, 1, 20)]
+
 Query = Callable[[EventsLens], DataFrame]
 CATALOGUE: dict[str, Query] = {}
 
@@ -144,6 +149,28 @@ def lake_read(lens: EventsLens) -> DataFrame:
     return _located(read_lake(lens.spark, path, schema.RAW_LAKE, source="click"))
 
 
+@query
+def constraint_rejects(lens: EventsLens) -> DataFrame:
+    """Rows of a table whose constraints were enforced on writing, and the rows they kept out with the rules."""
+    rows = lens.parsed(lens.first_log).select(
+        "event_id",
+        "source",
+        F.col("ingested_ts").alias("ingested_at"),
+        F.col("payload_id").try_cast("bigint").alias("record_id"),
+        F.lit(None).cast("timestamp").alias("event_timestamp"),
+        F.col("payload_temperature").try_cast("double").alias("temperature"),
+        F.col("payload_humidity").try_cast("double").alias("humidity"),
+        F.lit(None).cast("double").alias("temperature_f"),
+        "payload",
+        F.when(F.col("event_id") != "bad-id", as_of()).alias("processed_at"),
+    )
+    table = KeyedTable(lens.spark, work_folder(lens.spark, "checked"), RECORDS)
+    table.upsert(rows, 0)
+    table.compact()
+    columns = ["event_id", "source", "ingested_at", "temperature", "humidity", "broken_rules"]
+    return table.latest().withColumn("broken_rules", F.lit("")).select(columns).unionAll(table.rejects().select(columns))
+
+
 @query
 def constraint_report(lens: EventsLens) -> DataFrame:
     rows = lens.parsed(lens.both_logs).select(
@@ -372,17 +399,23 @@ def latest_metrics(lens: EventsLens) -> DataFrame:
 
 @query
 def source_quality(lens: EventsLens) -> DataFrame:
+    return summaries.quality_cards(lens.facts)
+
+
+@query
+def source_quality_tables(lens: EventsLens) -> DataFrame:
+    """The same card from a table of records and one of metrics."""
     return summaries.source_quality(lens.records, lens.metrics)
 
 
 @query
 def source_kpis(lens: EventsLens) -> DataFrame:
-    return summaries.source_kpis(lens.records, lens.metrics, lens.recent, as_of())
+    return summaries.kpi_cards(lens.facts, lens.recent, as_of())
 
 
 @query
 def source_quality_registered(lens: EventsLens) -> DataFrame:
-    return summaries.source_quality(lens.records, lens.metrics, lens.silent_registry)
+    return summaries.quality_cards(lens.facts, lens.silent_registry)
 
 
 @query
@@ -392,12 +425,12 @@ def source_kpis_registered(lens: EventsLens) -> DataFrame:
 
 @query
 def overview_kpis(lens: EventsLens) -> DataFrame:
-    return summaries.overview_kpis(summaries.source_quality(lens.records, lens.metrics), lens.registry)
+    return summaries.overview_kpis(summaries.quality_cards(lens.facts), lens.registry)
 
 
 @query
 def violation_breakdown(lens: EventsLens) -> DataFrame:
-    return summaries.violation_breakdown(summaries.source_quality(lens.records, lens.metrics))
+    return summaries.violation_breakdown(summaries.quality_cards(lens.facts))
 
 
 @query
@@ -491,6 +524,18 @@ def records_page_after(lens: EventsLens) -> DataFrame:
     return pages.records_page_after(lens.records, "click", after)
 
 
+@query
+def records_page_deep(lens: EventsLens) -> DataFrame:
+    """A page far behind the newest rows of one source, found by counting."""
+    return pages.records_page_at(lens.records, "click", limit=20, offset=DEEP)
+
+
+@query
+def aggregates_page_after(lens: EventsLens) -> DataFrame:
+    """The windows of one source behind a given one."""
+    return pages.aggregates_page_after(lens.aggregates, "click", F.lit(PAGE_AFTER[0]).cast("timestamp"))
+
+
 @query
 def recent_records(lens: EventsLens) -> DataFrame:
     temperature = F.get_json_object("payload", "$.temperature").cast("double")
@@ -597,6 +642,60 @@ def stream_metrics_late(lens: EventsLens) -> DataFrame:
     return _restarted(lens, TelemetryApp.start_metrics).metrics.latest()
 
 
+BATCH_FILES = 4
+
+
+@query
+def stream_many_batches(lens: EventsLens) -> DataFrame:
+    """Windows of one run over several micro-batches in the order of time, the last of them late.
+
+    The events come in ``MANY_BATCHES`` spans of time and are then all sent again.
+    A batch is held to the watermark that stood before the batch ahead of it, so
+    what lies behind the spans before the last one is dropped within the run, which
+    also forgets the ids of events behind it.
+    """
+    folder = work_folder(lens.spark, "stream")
+    moment = F.col("ts").cast("timestamp").cast("double")
+    span = F.ntile(MANY_BATCHES).over(Window.orderBy("day"))
+    days = lens.events.groupBy(F.floor(moment / 86400).alias("day")).count().withColumn("span", span)  # a row a day
+    placed = lens.events.withColumn("day", F.floor(moment / 86400)).join(F.broadcast(days.select("day", "span")), "day")
+    placed = placed.select("span", *lens.events.columns)
+    parts = [lens.log_of(placed.filter(F.col("span") == k + 1).drop("span")) for k in range(MANY_BATCHES)]
+    for part in [*parts, lens.second_log]:  # files are read by age
+        files = part.repartition(BATCH_FILES).withColumnRenamed("raw_value", "value")
+        write_text_log(files, f"{folder}/log")
+    app = TelemetryApp(
+        lens.spark,
+        lambda: file_log(lens.spark, f"{folder}/log", max_files=BATCH_FILES),
+        f"{folder}/tables",
+        processed_at=processing_time(),
+        availableNow=True,
+    )
+    app.start_aggregates().awaitTermination()
+    return app.aggregates.latest()
+
+
+@query
+def stream_chained(lens: EventsLens) -> DataFrame:
+    """Windows of the processed lake, which holds no copies, read as a stream of files."""
+    app = _streamed(lens, lens.first_log.unionAll(lens.first_log))
+    app.start_processed().awaitTermination()
+    app.start_aggregates(chained=True).awaitTermination()
+    return app.aggregates.latest()
+
+
+@query
+def lake_compacted(lens: EventsLens) -> DataFrame:
+    """A lake by hour after two landings and compactions; the second log is late for the hours closed by then."""
+    folder = work_folder(lens.spark, "lake")
+    lake = BatchLake(lens.spark, folder, schema.RAW_LAKE, schema.TIME_PARTITIONS)
+    for batch_id, log in enumerate([lens.first_log, lens.second_log]):
+        rows = raw_lake_rows(parse_envelopes(log))
+        lake.write(rows.hint("rebalance", *schema.TIME_PARTITIONS), batch_id)
+        lake.compact(CLOSED_BEFORE[batch_id])
+    return _located(lake.read())
+
+
 @query
 def stream_restart(lens: EventsLens) -> DataFrame:
     """Records after a restart: late ones are upserts too."""

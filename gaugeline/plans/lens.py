@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from gaugeline.operators.analytics import recent_slice
 from gaugeline.operators.parse import parse_envelopes, parse_payload, serving_records, typed_events
 from gaugeline.operators.quality import flag_quality, valid_rows
+from gaugeline.operators.summaries import log_facts
 from gaugeline.operators.windows import quality_windows, telemetry_windows
 
 AS_OF = "2024-01-30 23:59:59"
 PAGE_AFTER = ("2024-01-15 12:00:00", "00000000-0000-4000-8000-000000000000")
+DEEP = 700
+MANY_BATCHES = 3
 DOCUMENT_ROWS = 20
 
 
@@ -70,9 +73,13 @@ class EventsLens:
         )
         return events.select(F.to_json(envelope).alias("raw_value"))
 
+    def log_of(self, events: DataFrame) -> DataFrame:
+        """The first log of some of the events."""
+        return self._envelopes(events, 0.0, "0 seconds")
+
     @cached_property
     def first_log(self) -> DataFrame:
-        return self._envelopes(self.events, 0.0, "0 seconds")
+        return self.log_of(self.events)
 
     @cached_property
     def second_log(self) -> DataFrame:
@@ -112,6 +119,10 @@ class EventsLens:
     def metrics(self) -> DataFrame:
         return self.metrics_of(self.first_log)
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        return log_facts(self.flagged(self.first_log))
+
     @cached_property
     def recent(self) -> DataFrame:
         return recent_slice(self.records)

@@ -4,7 +4,7 @@ Each statement restates a query from the numbers of the events, so parsing,
 rules and aggregation are checked against an independent computation.
 """
 
-from gaugeline.plans.lens import AS_OF, DOCUMENT_ROWS, PAGE_AFTER
+from gaugeline.plans.lens import AS_OF, DEEP, DOCUMENT_ROWS, MANY_BATCHES, PAGE_AFTER
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 
@@ -211,6 +211,22 @@ SELECT {RECORD_COLUMNS}, {PAYLOAD_COLUMNS} FROM (
 _AGGREGATES = f"WITH {AGGREGATES} SELECT {AGGREGATE_COLUMNS} FROM aggregates"
 _METRICS = f"WITH {METRICS} SELECT {METRIC_COLUMNS} FROM metrics"
 
+def _late(known: str) -> str:
+    """Windows of the first log and of late records that an earlier batch, ``known``, leaves in time."""
+    return f"""WITH {BOTH_RECORDS}, days AS (
+        SELECT day, ntile({MANY_BATCHES}) OVER (ORDER BY day) AS span
+        FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)),
+      sent AS (
+        FROM records UNION ALL SELECT * FROM late_records WHERE event_id NOT IN (SELECT event_id FROM records)
+          AND event_timestamp > (SELECT max(event_timestamp) - INTERVAL 10 MINUTES FROM {known})),
+      {_aggregates('aggregates', 'sent')} SELECT {AGGREGATE_COLUMNS} FROM aggregates"""
+
+
+_BOTH_RAW = f"""WITH {BOTH_LOGS}, sent AS (
+    SELECT source, ingested_ts, ingested_at FROM log UNION ALL SELECT source, ingested_ts, ingested_at FROM late)
+  SELECT source, year(ingested_ts) AS year, month(ingested_ts) AS month, day(ingested_ts) AS day,
+    hour(ingested_ts) AS hour, ingested_at FROM sent"""
+
 _INSIGHTS = f"""WITH {SLICE}, sentences AS (
         SELECT source, field, 0 AS part, upper(field[1]) || field[2:] || CASE direction
           WHEN 'Increasing' THEN printf(' increased %.1f%% compared with the previous period.', percentage)
@@ -240,6 +256,14 @@ ORACLES = {
     "processed_records": f"WITH {RECORDS} SELECT {RECORD_COLUMNS}, {PAYLOAD_COLUMNS} FROM records",
     "raw_partitions": _RAW,
     "lake_read": f"WITH {LOG} SELECT {LAKE_COLUMNS} FROM log WHERE source = 'click'",
+    "constraint_rejects": f"""WITH {LOG}, typed AS (
+        SELECT event_id, source, ingested_ts AS ingested_at,
+          CASE WHEN shape = 'full' THEN round(temperature, 6) END AS temperature,
+          CASE WHEN shape = 'full' THEN round(humidity, 6) END AS humidity FROM log)
+      SELECT *, concat_ws(',', CASE WHEN event_id IS NULL THEN 'not_null_event_id' END,
+        CASE WHEN event_id IS NULL OR event_id = 'bad-id' THEN 'not_null_processed_at' END,
+        CASE WHEN temperature < -50 OR temperature > 100 THEN 'range_temperature' END,
+        CASE WHEN humidity < 0 OR humidity > 100 THEN 'range_humidity' END) AS broken_rules FROM typed""",
     "constraint_report": f"""WITH {BOTH_LOGS}, sent AS (
         SELECT event_id, shape, temperature, humidity FROM log
         UNION ALL SELECT event_id, shape, temperature, humidity FROM late),
@@ -336,6 +360,7 @@ ORACLES = {
       FROM records WHERE source = 'click'""",
     "latest_metrics": f"WITH {CARDS} SELECT {METRIC_COLUMNS} FROM newest",
     "source_quality": f"WITH {CARDS} SELECT * FROM quality",
+    "source_quality_tables": f"WITH {CARDS} SELECT * FROM quality",
     "source_kpis": f"WITH {SLICE}, {KPIS}",
     "source_quality_registered": f"""WITH {CARDS}, {QUIET} SELECT * FROM quality
       UNION ALL SELECT name, 0, 0, 0, 0, 0, 0, 0, NULL FROM quiet""",
@@ -381,6 +406,13 @@ ORACLES = {
       WHERE source = 'click' AND (event_timestamp < TIMESTAMP '{PAGE_AFTER[0]}'
         OR event_timestamp = TIMESTAMP '{PAGE_AFTER[0]}' AND event_id > '{PAGE_AFTER[1]}')
       ORDER BY event_timestamp DESC NULLS FIRST, event_id LIMIT 20""",
+    "records_page_deep": f"""WITH {RECORDS} SELECT {RECORD_COLUMNS} FROM records
+      WHERE source = 'click' ORDER BY event_timestamp DESC NULLS FIRST, event_id LIMIT 20 OFFSET {DEEP}""",
+    "aggregates_page_after": f"""WITH {AGGREGATES} SELECT source, window_start, window_end,
+        CASE WHEN avg_temperature <> 0 THEN round(round(avg_temperature, 9), 2) END AS avg_temperature,
+        CASE WHEN avg_humidity <> 0 THEN round(round(avg_humidity, 9), 2) END AS avg_humidity, record_count
+      FROM aggregates WHERE source = 'click' AND window_start < TIMESTAMP '{PAGE_AFTER[0]}'
+      ORDER BY window_start DESC LIMIT 20""",
     "recent_records": f"""WITH {RECORDS} SELECT source, event_id, event_timestamp,
         round(temperature, 6) AS temperature, round(humidity, 6) AS humidity,
         round(temperature, 6) AS payload_temperature FROM records
@@ -414,10 +446,12 @@ ORACLES = {
       SELECT source, CASE WHEN age < 60 THEN 'Live'
         WHEN age < 3600 THEN CAST(CAST(floor(age / 60) AS BIGINT) AS VARCHAR) || 'm ago'
         ELSE CAST(CAST(floor(age / 3600) AS BIGINT) AS VARCHAR) || 'h ago' END AS freshness FROM ages""",
-    "stream_late": f"""WITH {BOTH_RECORDS}, sent AS (
-        FROM records UNION ALL SELECT * FROM late_records WHERE event_id NOT IN (SELECT event_id FROM records)
-          AND event_timestamp > (SELECT max(event_timestamp) - INTERVAL 10 MINUTES FROM records)),
-      {_aggregates('aggregates', 'sent')} SELECT {AGGREGATE_COLUMNS} FROM aggregates""",
+    "stream_late": _late("records"),
+    "stream_many_batches": _late(
+        f"records JOIN days ON day = CAST(event_timestamp AS DATE) AND span < {MANY_BATCHES}"
+    ),
+    "stream_chained": _AGGREGATES,
+    "lake_compacted": _BOTH_RAW,
     "stream_metrics_late": f"""WITH {BOTH_LOGS}, sent AS (
         FROM log UNION ALL SELECT * FROM late
         WHERE time_bucket(INTERVAL 5 MINUTES, ingested_ts) + INTERVAL 5 MINUTES

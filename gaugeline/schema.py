@@ -27,6 +27,12 @@ REGISTRY = (
 )
 
 RAW_LAKE = "source STRING, raw_value STRING, year INT, month INT, day INT, hour INT"
+PROCESSED_LAKE = (
+    "event_id STRING, source STRING, ingested_at TIMESTAMP, payload STRING, id BIGINT, timestamp TIMESTAMP, "
+    "temperature DOUBLE, humidity DOUBLE, temperature_f DOUBLE, processed_at TIMESTAMP, "
+    "year INT, month INT, day INT, hour INT"
+)
+QUARANTINE = "source STRING, raw_value STRING"
 
 LAKE_PARTITIONS = ["source", "year", "month", "day", "hour"]
 TIME_PARTITIONS = ["year", "month", "day", "hour"]
@@ -52,6 +58,11 @@ DAILY_KEYS = ["summary_date", "source"]
 DAILY_FROZEN: list[str] = []
 DAILY_MUTABLE = ["total_records", "avg_temperature", "avg_humidity", "last_updated"]
 
+# Columns a stored row must have.
+RECORD_REQUIRED = ["event_id", "source", "ingested_at", "processed_at"]
+AGGREGATE_REQUIRED = ["source", "window_start", "window_end", "record_count"]
+METRIC_REQUIRED = [name.split()[0] for name in METRICS.split(", ")]
+
 # Thresholds, intervals and labels that decide results.
 EVENT_ID_PATTERN = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 TEMPERATURE_RANGE = (-50.0, 100.0)

@@ -32,3 +32,9 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     """The bytes of all files below a folder, 0 if there is none; from the file system's own count."""
     files, folder = _files(spark, path)
     return files.getContentSummary(folder).getLength() if files.exists(folder) else 0
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder if it is not there, for a stream that may start before its first file."""
+    files, folder = _files(spark, path)
+    files.mkdirs(folder)

@@ -1,13 +1,14 @@
 """Keyed tables on plain Parquet: a log of batches over a compacted base."""
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline import schema
+from gaugeline.operators.quality import broken_constraints
 from gaugeline.operators.ranking import first_per_key
 from gaugeline.operators.upsert import merge_batches, merge_into_buckets
 from gaugeline.sources.folders import numbered, remove, stored_bytes
@@ -21,6 +22,12 @@ class TableSpec:
     frozen: list[str]
     mutable: list[str]
     first_by: list[str]
+    required: list[str] = field(default_factory=list)
+    ranges: dict[str, tuple[float, float]] = field(default_factory=dict)
+
+    @property
+    def names(self) -> list[str]:
+        return [column.split()[0] for column in self.columns.split(", ")]
 
 
 RECORDS = TableSpec(
@@ -29,6 +36,8 @@ RECORDS = TableSpec(
     schema.RECORD_FROZEN,
     schema.RECORD_MUTABLE,
     ["ingested_at", "payload"],
+    schema.RECORD_REQUIRED,
+    {"temperature": schema.TEMPERATURE_RANGE, "humidity": schema.HUMIDITY_RANGE},
 )
 AGGREGATES = TableSpec(
     schema.AGGREGATES,
@@ -36,6 +45,7 @@ AGGREGATES = TableSpec(
     schema.AGGREGATE_FROZEN,
     schema.AGGREGATE_MUTABLE,
     ["window_end"],
+    schema.AGGREGATE_REQUIRED,
 )
 METRICS = TableSpec(
     schema.METRICS,
@@ -43,6 +53,7 @@ METRICS = TableSpec(
     schema.METRIC_FROZEN,
     schema.METRIC_MUTABLE,
     ["total_records"],
+    schema.METRIC_REQUIRED,
 )
 DAILY = TableSpec(
     schema.DAILY, schema.DAILY_KEYS, schema.DAILY_FROZEN, schema.DAILY_MUTABLE, ["last_updated"]
@@ -75,6 +86,11 @@ class KeyedTable:
     interrupted compaction leaves the old base in force. What a new base
     replaces stays until ``SNAPSHOTS`` newer ones are named, so that a frame
     opened before a compaction can still be read after it.
+
+    Rows that break a constraint of the table (a required column, a range) are
+    set apart, with the names of the rules, in the same write and before the batch
+    counts; no later step sees them but ``rejects``. Equal rejects of a batch are
+    one row.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec):
@@ -83,14 +99,23 @@ class KeyedTable:
     def upsert(self, rows: DataFrame, batch_id: int, unique: bool = False) -> None:
         """Log a batch; ``unique`` says that its keys do not repeat."""
         spec = self.spec
+        rows = rows.select(*spec.names, broken_constraints(spec.required, spec.ranges).alias("broken_rules"))
         if not unique:
-            rows = first_per_key(rows, spec.keys, spec.first_by)
-        names = [field.split()[0] for field in spec.columns.split(", ")]
-        write_batch(rows.select(*names), f"{self.path}/log", batch_id)
+            own = F.when(F.col("broken_rules") != "", F.xxhash64(*spec.names))  # rejects are no copies of a key
+            rows = first_per_key(rows.withColumn("_reject", own), [*spec.keys, "_reject"], spec.first_by).drop("_reject")
+        rows = rows.withColumn("accepted", F.col("broken_rules") == "")
+        write_batch(rows, f"{self.path}/log", batch_id, ["accepted"])
 
     def latest(self) -> DataFrame:
         return self._merged(self._current(), None)
 
+    def rejects(self) -> DataFrame:
+        """All rows that broke a constraint: the table's columns and ``broken_rules``."""
+        base = self._current()
+        older = self._read("rejects", f"{self.spec.columns}, broken_rules STRING, version BIGINT")
+        older = older.filter(F.col("version") <= base.version).drop("version")
+        return older.unionByName(self._log(base, None, accepted=False))
+
     def last_batch(self) -> int:
         """The highest batch that was written to its end, -1 if there is none; from the folder names."""
         batches = numbered(self.spark, f"{self.path}/log", "batch_id")
@@ -116,9 +141,10 @@ class KeyedTable:
         if buckets != old.buckets:
             rows = rows.repartition(buckets, *self.spec.keys)
         new = Snapshot(old.version + 1, up_to, buckets)
+        self._log(old, up_to, accepted=False).write.mode("overwrite").parquet(f"{self.path}/rejects/version={new.version}")
         remove(self.spark, self._base(new))  # left by a compaction that never ended
         write_buckets(rows, self._base(new), buckets, self.spec.keys)
-        entry = self.spark.range(1).select(
+        entry = self.spark.range(0, 1, 1, 1).select(
             F.lit(new.version).cast("bigint").alias("version"),
             F.lit(up_to).cast("bigint").alias("up_to"),
             F.lit(buckets).alias("buckets"),
@@ -144,13 +170,19 @@ class KeyedTable:
 
     def _merged(self, base: Snapshot, up_to: int | None) -> DataFrame:
         spec = self.spec
-        delta = self._read("log", f"{spec.columns}, batch_id BIGINT").filter(F.col("batch_id") > base.up_to)
-        if up_to is not None:
-            delta = delta.filter(F.col("batch_id") <= up_to)
+        delta = self._log(base, up_to)
         if base.version == 0:
             return merge_batches(delta, spec.keys, spec.frozen, spec.mutable)
         return merge_into_buckets(self._bucketed(base), delta, base.buckets, spec.keys, spec.frozen, spec.mutable)
 
+    def _log(self, base: Snapshot, up_to: int | None, accepted: bool = True) -> DataFrame:
+        """Accepted rows of the batches after a base with their batch, or the rejected ones with their rules."""
+        rows = self._read("log", f"{self.spec.columns}, broken_rules STRING, batch_id BIGINT, accepted BOOLEAN")
+        rows = rows.filter((F.col("batch_id") > base.up_to) & (F.col("accepted") == accepted))
+        if up_to is not None:
+            rows = rows.filter(F.col("batch_id") <= up_to)
+        return rows.select(*self.spec.names, "batch_id" if accepted else "broken_rules")
+
     def _base(self, snapshot: Snapshot) -> str:
         return f"{self.path}/base/version={snapshot.version}"
 

@@ -9,8 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline import schema
 from gaugeline.operators.parse import event_lake_rows, raw_lake_rows, serving_records, typed_events
 from gaugeline.operators.quality import quarantine_rows, valid_rows
+from gaugeline.operators.windows import telemetry_windows
+from gaugeline.sources.folders import make_folder
 from gaugeline.sources.keyed import AGGREGATES, METRICS, RECORDS, KeyedTable
-from gaugeline.sources.writers import write_batch
+from gaugeline.sources.lake import BatchLake
 from gaugeline.streaming.transforms import (
     COPY_SLOTS,
     drop_copies,
@@ -30,7 +32,9 @@ class TelemetryApp:
       quarantine and the records table. It keeps late events, since none of
       these outputs needs state.
     * ``processed`` appends events without copies to the processed lake.
-    * ``aggregates`` and ``metrics`` keep the windowed serving tables.
+    * ``aggregates`` and ``metrics`` keep the windowed serving tables. Run beside
+      ``processed``, the aggregates read its lake, which holds no copies, as a
+      stream of files, so that the ids of all events are kept in one state only.
 
     Every query has its own checkpoint, and every write of a micro-batch can be
     repeated, so a restart continues without loss or repeats. Nothing is
@@ -53,15 +57,17 @@ class TelemetryApp:
         self.records = KeyedTable(spark, f"{self.root}/records", RECORDS)
         self.aggregates = KeyedTable(spark, f"{self.root}/aggregates", AGGREGATES)
         self.metrics = KeyedTable(spark, f"{self.root}/metrics", METRICS)
+        self.raw_lake = BatchLake(spark, f"{self.root}/raw", schema.RAW_LAKE, schema.LAKE_PARTITIONS)
+        self.quarantine_lake = BatchLake(spark, f"{self.root}/quarantine", schema.QUARANTINE, ["source"])
 
     def raw(self) -> DataFrame:
-        return self._stored("raw", schema.RAW_LAKE)
+        return self.raw_lake.read()
 
     def quarantine(self) -> DataFrame:
-        return self._stored("quarantine", "source STRING, raw_value STRING")
+        return self.quarantine_lake.read()
 
     def processed(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/processed")
+        return self.spark.read.schema(schema.PROCESSED_LAKE).parquet(f"{self.root}/processed")
 
     def start_landing(self, outputs: Sequence[str] = LANDED) -> StreamingQuery:
         """Write the stateless outputs; leave some out only under a root of their own."""
@@ -70,11 +76,9 @@ class TelemetryApp:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 if "raw" in outputs:
-                    raw = raw_lake_rows(batch)
-                    write_batch(raw, f"{self.root}/raw", batch_id, schema.LAKE_PARTITIONS)
+                    self.raw_lake.write(raw_lake_rows(batch), batch_id)
                 if "quarantine" in outputs:
-                    bad = quarantine_rows(batch)
-                    write_batch(bad, f"{self.root}/quarantine", batch_id, ["source"])
+                    self.quarantine_lake.write(quarantine_rows(batch), batch_id)
                 if "records" in outputs:
                     events = typed_events(valid_rows(batch), self.processed_at)
                     self.records.upsert(serving_records(events), batch_id)
@@ -89,11 +93,23 @@ class TelemetryApp:
         writer = writer.partitionBy(*schema.TIME_PARTITIONS).option("path", f"{self.root}/processed")
         return self._start("processed", writer)
 
-    def start_aggregates(self) -> StreamingQuery:
+    def start_aggregates(self, chained: bool = False) -> StreamingQuery:
+        """Windows of events without copies: of the log, or ``chained`` of the processed lake.
+
+        The lake leaves out late events already. What a chained run reads is what
+        ``processed`` has committed; files of one of its batches may come with
+        those of the next, so the watermark is never ahead of the lake's.
+        """
+
         def store(batch: DataFrame, batch_id: int) -> None:
             self.aggregates.upsert(batch, batch_id, unique=True)
 
-        windows = streaming_aggregates(self._events(), self.copy_slots)
+        if chained:
+            make_folder(self.spark, f"{self.root}/processed")
+            lake = self.spark.readStream.schema(schema.PROCESSED_LAKE).parquet(f"{self.root}/processed")
+            windows = telemetry_windows(lake.withWatermark("timestamp", schema.EVENT_WATERMARK))
+        else:
+            windows = streaming_aggregates(self._events(), self.copy_slots)
         return self._for_each_batch("aggregates", windows, "update", store)
 
     def start_metrics(self) -> StreamingQuery:
@@ -106,17 +122,19 @@ class TelemetryApp:
         return [
             self.start_landing(),
             self.start_processed(),
-            self.start_aggregates(),
             self.start_metrics(),
+            self.start_aggregates(chained=True),
         ]
 
     def run(self) -> None:
         """Run all queries; stop when one of them ends or, with ``availableNow``, when all are done."""
-        queries = self.start_all()
         if self.trigger.get("availableNow"):
-            for query in queries:
+            first = [self.start_landing(), self.start_processed(), self.start_metrics()]
+            for query in first:
                 query.awaitTermination()
+            self.start_aggregates(chained=True).awaitTermination()
             return
+        queries = self.start_all()
         try:
             self.spark.streams.awaitAnyTermination()
         finally:
@@ -129,10 +147,6 @@ class TelemetryApp:
     def _events(self) -> DataFrame:
         return watermarked_events(self._flagged(), self.processed_at)
 
-    def _stored(self, name: str, columns: str) -> DataFrame:
-        rows = self.spark.read.schema(f"{columns}, batch_id BIGINT").parquet(f"{self.root}/{name}")
-        return rows.drop("batch_id")
-
     def _for_each_batch(self, name: str, rows: DataFrame, mode: str, sink) -> StreamingQuery:
         return self._start(name, rows.writeStream.outputMode(mode).foreachBatch(sink))
 

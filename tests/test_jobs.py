@@ -121,4 +121,4 @@ def test_command_line_lists_the_jobs():
     run = subprocess.run(
         [sys.executable, "-m", "gaugeline.jobs", "--help"], cwd=home, capture_output=True, text=True, timeout=120
     )
-    assert run.returncode == 0 and "{ingest,stream,daily,check,purge}" in run.stdout
+    assert run.returncode == 0 and "{ingest,stream,daily,check,purge,compact}" in run.stdout

@@ -214,3 +214,30 @@ def test_random_histories_equal_plain_upserts(spark, tmp_path, rows):
             if chance.random() < 0.5:
                 table.compact()
         assert state(table) == want
+
+
+def test_rows_that_break_a_constraint_are_kept_apart_with_their_rules(table, rows, spark):
+    bad = rows(("hot", 500), ("cold", -51), ("cold", -51))
+    unnamed = rows(("x", 1), ("y", 2)).withColumn("event_id", F.lit(None).cast("string"))
+    edge = rows(("high", 100), ("low", -50)).withColumn("humidity", F.lit(None).cast("double"))
+    wet = rows(("wet", 200)).withColumn("humidity", F.lit(101.0)).withColumn("source", F.lit(None).cast("string"))
+    for batch, part in enumerate([bad, unnamed, edge, wet]):
+        table.upsert(part.unionByName(rows((f"good{batch}", batch))), batch)
+    kept = {f"good{n}" for n in range(4)} | {"high", "low"}
+    want = [
+        ("cold", "range_temperature"), ("hot", "range_temperature"),
+        ("wet", "not_null_source,range_temperature,range_humidity"), (None, "not_null_event_id"), (None, "not_null_event_id"),
+    ]
+    told = lambda: sorted(((r.event_id, r.broken_rules) for r in table.rejects().collect()), key=repr)
+    assert set(state(table)) == kept and told() == sorted(want, key=repr)
+    table.compact(1)
+    assert set(state(table)) == kept and told() == sorted(want, key=repr)
+    for _ in range(3):
+        table.compact()
+    assert table.last_batch() == -1 and set(state(table)) == kept and told() == sorted(want, key=repr)
+
+
+def test_a_broken_copy_does_not_hide_a_good_one(table, rows):
+    table.upsert(rows(("a", 200), ("a", 7)), 0)
+    assert state(table) == {"a": ("source-7", 7.0, 7.0)}
+    assert [r.temperature for r in table.rejects().collect()] == [200.0]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gaugeline.operators.parse import parse_envelopes, parse_payload, typed_events
 from gaugeline.operators.quality import flag_quality, valid_rows
 from gaugeline.operators.windows import quality_windows, telemetry_windows
+from gaugeline.sources.keyed import AGGREGATES, KeyedTable
 from gaugeline.sources.readers import file_log
 from gaugeline.streaming.app import TelemetryApp
 
@@ -171,3 +172,48 @@ def test_queries_stop_together(site):
     finally:
         for query in queries:
             query.stop()
+
+
+def state_keys(spark, app, name, operator):
+    path = f"{app.root}/checkpoints/{name}"
+    return spark.read.format("statestore").option("operatorId", operator).load(path).count()
+
+
+def test_the_state_forgets_what_the_watermark_has_passed(site, spark):
+    for hour in range(4):
+        site.send(*[reading(100 * hour + n, minute=60 * hour + n % 5) for n in range(40)])
+    site.send(*[reading(n, minute=n % 5) for n in range(40)])  # three hours late
+    app = site.app(copy_slots=1)
+    run(app, "processed")
+    assert app.processed().count() == 160
+    assert state_keys(spark, app, "processed", 0) == 40  # the ids of the last hour
+    site.send(*[reading(900 + n, minute=600) for n in range(3)])
+    site.send(reading(990, minute=601))
+    run(app, "processed")
+    assert state_keys(spark, app, "processed", 0) == 4
+    assert app.processed().count() == 164
+
+
+def test_chained_windows_keep_no_ids(site):
+    lines = [reading(n, temperature=n % 40, minute=n // 4, source=f"s{n % 3}") for n in range(120)]
+    for start in range(0, 120, 40):
+        site.send(*lines[start : start + 40], *lines[start : start + 10])
+    app = site.app()
+    first = app.start_processed()
+    first.awaitTermination()
+    second = app.start_aggregates(chained=True)
+    second.awaitTermination()
+    names = lambda query: [s["operatorName"] for s in query.lastProgress["stateOperators"]]
+    assert [name.startswith("dedupe") for name in names(first)] == [True, True]
+    assert [name.startswith("dedupe") for name in names(second)] == [False]
+    chained = rows(app.aggregates.latest(), *WINDOW)
+    app.root += "/alone"
+    app.aggregates = KeyedTable(app.spark, f"{app.root}/aggregates", AGGREGATES)
+    run(app, "aggregates")
+    assert chained == rows(app.aggregates.latest(), *WINDOW)
+    site.send(reading(500, minute=200), reading(3, minute=0))
+    app.root = app.root.removesuffix("/alone")
+    app.aggregates = KeyedTable(app.spark, f"{app.root}/aggregates", AGGREGATES)
+    run(app, "processed")
+    app.start_aggregates(chained=True).awaitTermination()
+    assert sum(r.record_count for r in app.aggregates.latest().collect()) == 121
