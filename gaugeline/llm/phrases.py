@@ -17,13 +17,13 @@ from gaugeline.llm.storage import stored
 
 MIN_COUNT, LONGEST, TOP = 30, 4, 2000
 #: One document in so many is in the sample; there a phrase needs LOWERED of its share of MIN_COUNT.
-SAMPLE_ONE_IN, LOWERED = 4, 0.6
+SAMPLE_ONE_IN, LOWERED = 8, 0.8
 #: A phrase that holds at least this part (in hundredths) of a shorter one's occurrences replaces it.
 HELD = 80
 #: Fixed size of a signature; with more phrases it lets more windows be counted, never fewer.
 SIGNATURE_BITS = 26
 #: Bytes of text whose words are coded together, and words counted together in a task.
-BLOCK, FLUSH = 2**19, 2**19
+BLOCK, FLUSH = 2**18, 2**18
 #: Parts that may be shared by very many phrases, single words, are dealt to so many slots in joins.
 SLOTS = 16
 
@@ -221,8 +221,8 @@ class CodedStream:
             return
         blocks, langs, long_words = zip(*self.parts)
         data, ends = b"".join(blocks), np.cumsum([len(block) for block in blocks])
-        numbers = {lang: self.codes_of.language(lang) for lang in set(langs)}
-        found = self.codes_of.of(data, ends, np.array([numbers[lang] for lang in langs], np.uint64))
+        lang_codes = {lang: self.codes_of.language(lang) for lang in set(langs)}
+        found = self.codes_of.of(data, ends, np.array([lang_codes[lang] for lang in langs], np.uint64))
         names = {name: word for own in long_words for name, word in own.items()}
         self.coded.append((data, ends, langs, names, *found))
         self.words += len(found[0])
@@ -236,7 +236,8 @@ class CodedStream:
         borders = self.overlap + np.cumsum([0, *(len(part[4]) for part in coded)])
 
         def spelled(places: np.ndarray) -> tuple[pa.Array, pa.Array]:
-            own, words, names = np.searchsorted(borders, places, side="right") - 1, np.empty(len(places), object), np.empty(len(places), object)
+            own = np.searchsorted(borders, places, side="right") - 1
+            words, names = np.empty(len(places), object), np.empty(len(places), object)
             for k, (data, ends, langs, long_words, _, _, starts, stops) in enumerate(coded):
                 here = np.flatnonzero(own == k)
                 at = places[here] - borders[k]
