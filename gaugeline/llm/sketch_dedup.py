@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm.components import connected_components
+from gaugeline.llm.phrases import Signature
 from gaugeline.llm.shingles import WordCodes, mixed, shingle_codes, words_of
 from gaugeline.llm.storage import stored
 
@@ -19,6 +20,8 @@ BANDS, BAND_ROWS = 32, 5
 PERCENT = 80
 #: Words in a shingle: of the pipeline's stage, and of the registered query.
 STAGE_WIDTH, WIDTH = 5, 2
+#: Documents up to which a signature tells most others apart.
+SIGNATURE_NODES = 2**25
 #: Stand-ins for doc_ids that stand at several texts begin here.
 STAND_IN = 2**62
 #: Rounds of pivots before what they leave open is compared in chunks.
@@ -93,19 +96,30 @@ def sketch_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
-def shingle_sets(nodes: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(node, codes) of the documents named by ``nodes`` (node), the codes as bytes."""
+def shingle_sets(nodes: DataFrame, docs: DataFrame, width: int = WIDTH, several: int = 0) -> DataFrame:
+    """(node, codes) of at least the documents named by ``nodes`` (node), the codes as bytes.
+
+    Texts are not shuffled: each task tells by a signature of fixed size whether a
+    document is wanted. A few others pass it; where ``several``, the most there can
+    be, would fill it, they are taken out by a join of the sets.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(Signature.of(nodes.select(F.col("node").alias("w1")), 1))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
         for batch in batches:
+            ids = batch.column(0)
+            known = wanted.value.has(mixed(ids.fill_null(0).to_numpy().view(np.uint64))) & ids.is_valid().to_numpy(zero_copy_only=False)
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+                part = batch.slice(at, 256).filter(pa.array(known[at : at + 256]))
                 own = [shingle_codes(words_of(x), codes, width).tobytes() for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())], names=["node", "codes"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    return stored(texts.join(nodes, "node", "left_semi").mapInArrow(sets, "node long, codes binary"), "sets")
+    found = texts.mapInArrow(sets, "node long, codes binary")
+    if several > SIGNATURE_NODES:
+        found = found.join(nodes, "node", "left_semi")
+    return stored(found, "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -229,7 +243,7 @@ def find_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, widt
     known = classes.select("node", "n_shingles")
     buckets = stored(buckets.drop("size").join(degree.join(known, "node"), "node"), "buckets-ranked")
     bucket_rows = buckets.count()
-    sets = shingle_sets(buckets.select("node").distinct(), docs, width)  # one pass over the texts
+    sets = shingle_sets(buckets.select("node").distinct(), docs, width, bucket_rows)  # one pass over the texts
     empty = docs.sparkSession.createDataFrame([], "a long, b long")
     links, tested, found = empty, empty, docs.sparkSession.createDataFrame([], "node long, component long")
     open_rows = buckets.withColumn("component", F.col("node"))

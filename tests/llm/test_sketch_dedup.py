@@ -108,3 +108,11 @@ def test_words_and_shingles():
     assert len(shingle_codes(words_of("a b a b a"), codes)) == 2
     assert len(shingle_codes(words_of("a"), codes)) == 1
     assert len(shingle_codes([], codes)) == 0
+
+
+@pytest.mark.parametrize("most", [0, 2**25])
+def test_sets_of_wanted_documents_with_and_without_the_join(spark, documents, monkeypatch, most):  # noqa: F811
+    monkeypatch.setattr("gaugeline.llm.sketch_dedup.SIGNATURE_NODES", most)
+    texts = {k: sentence(k % 7, 80) + (f" more{k}" if k % 2 else "") for k in range(40)} | {100: None, 101: sentence(50)}
+    rows = by(near_duplicates(documents([*texts.items(), (None, sentence(1, 80))])).where("doc_id IS NOT NULL"), "doc_id", *COLUMNS)
+    assert rows == brute.near_duplicates(texts)
