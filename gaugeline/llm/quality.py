@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.llm.caches import forget
 from gaugeline.llm.storage import stored
 
 #: Words share this many hashed rows; the first ones stand for shapes of words and marks.
@@ -81,6 +82,7 @@ def context_sums(docs: DataFrame) -> np.ndarray:
     names = [f"c{k}" for k in range(DIMENSIONS)]
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         tokens, (places, signs) = Tokens(), index_vectors()
         total, held, size = np.zeros(BUCKETS * DIMENSIONS), [], 0
         gap = np.full(REACH, BUCKETS, np.int64)  # no word reaches into the next document
@@ -234,9 +236,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Network
     known = F.broadcast(stored(known, "labels"))  # FIT_DOCUMENTS rows of two numbers at most
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         tokens = Tokens()
         for batch in batches:
-            rows = [pooled(tokens.of(x), vectors).tobytes() for x in batch.column(2).to_pylist()]
+            rows = []
+            for at in range(0, batch.num_rows, 256):
+                rows += [pooled(tokens.of(x), vectors).tobytes() for x in batch.column(2).slice(at, 256).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], names=["doc_id", "quality", "x"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -261,6 +266,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     at = [name.lower() for name in kept].index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         tokens = Tokens()
         for batch in batches:
             scores = []

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeline.llm.caches import forget
 from gaugeline.llm.components import connected_components
 from gaugeline.llm.phrases import Signature
 from gaugeline.llm.shingles import WordCodes, mixed, shingle_codes, words_of
@@ -30,6 +31,8 @@ PIVOT_ROUNDS = 6
 VISIT_FACTOR = 4
 #: Sets that a task indexes at a time, and sets that visit such a chunk in one task.
 CHUNK_SETS, CHUNK_VISITS = 512, 4096
+#: Codes of all sets of such a chunk together, and codes that a visiting set meets in it at a time.
+CHUNK_CODES, MEETINGS = 1 << 21, 1 << 20
 
 
 def similarity_sketch(codes: np.ndarray, size: int = BANDS * BAND_ROWS) -> np.ndarray:
@@ -72,6 +75,7 @@ def sketch_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, content, bands): content names the set; both are null for an empty set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         codes = WordCodes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -106,6 +110,7 @@ def shingle_sets(nodes: DataFrame, docs: DataFrame, width: int = WIDTH, several:
     wanted = docs.sparkSession.sparkContext.broadcast(Signature.of(nodes.select(F.col("node").alias("w1")), 1))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         codes = WordCodes()
         for batch in batches:
             ids = batch.column(0)
@@ -122,6 +127,12 @@ def shingle_sets(nodes: DataFrame, docs: DataFrame, width: int = WIDTH, several:
     return stored(found, "sets")
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch of sets, a few of them in Python's own form at a time."""
+    for at in range(0, batch.num_rows, 256):
+        yield from zip(*(c.to_pylist() for c in batch.slice(at, 256).columns))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of doc_ids whose full shingle sets reach the similarity.
 
@@ -130,10 +141,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
-            left, right = (batch.column(k).to_pylist() for k in (2, 3))
             keep = np.zeros(batch.num_rows, bool)
-            for k, (x, y) in enumerate(zip(left, right)):
+            for k, (x, y) in enumerate(_rows(batch.select([2, 3]))):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
                     continue
@@ -153,7 +164,7 @@ class SetIndex:
 
     def __init__(self, nodes: list[int], sets: list[np.ndarray]):
         self.nodes, self.sizes = nodes, np.array([len(x) for x in sets])
-        codes, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        codes, owners = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
         order = np.argsort(codes, kind="stable")
         codes, self.owners = codes[order], owners[order]
         self.starts = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
@@ -164,15 +175,18 @@ class SetIndex:
         """Nodes of the chunk whose sets reach the similarity with ``own``."""
         at = np.minimum(np.searchsorted(self.codes, own), len(self.codes) - 1)
         at = at[self.codes[at] == own]
-        count = self.counts[at]
-        places = np.repeat(self.starts[at] - np.cumsum(count) + count, count) + np.arange(count.sum())
-        common = np.bincount(self.owners[places], minlength=len(self.nodes))
+        common = np.zeros(len(self.nodes), np.int64)
+        upto = np.cumsum(self.counts[at])
+        for part in np.split(at, np.searchsorted(upto, np.arange(MEETINGS, upto[-1] if len(at) else 0, MEETINGS))):
+            count = self.counts[part]
+            places = np.repeat(self.starts[part] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            common += np.bincount(self.owners[places], minlength=len(self.nodes))
         good = 100 * common >= percent * (len(own) + self.sizes - common)
         return [self.nodes[k] for k in np.flatnonzero(good)]
 
 
 def chunk_links(open_rows: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) that tie together what pivots left apart in buckets (key, node, component, main).
+    """Links (a, b) that tie together what pivots left apart in buckets (key, node, n_shingles, component, main).
 
     The nodes outside their buckets' main components are dealt to chunks of
     bounded size by that component. Every node of such a bucket visits the
@@ -181,8 +195,9 @@ def chunk_links(open_rows: DataFrame, sets: DataFrame, percent: int = PERCENT) -
     not tied together yet, at most one for each node it sees.
     """
     outside = open_rows.where(F.col("component") != F.col("main"))
-    sizes = outside.groupBy("main").agg(F.count_distinct("node").alias("n"))
-    dealt = outside.join(sizes, "main").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / CHUNK_SETS)))
+    sizes = outside.select("main", "node", "n_shingles").distinct().groupBy("main")
+    sizes = sizes.agg(F.ceil(F.greatest(F.count("*") / CHUNK_SETS, F.sum("n_shingles") / CHUNK_CODES)).alias("parts"))
+    dealt = outside.join(sizes, "main").withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
     dealt = stored(dealt.select("key", "node", "component", F.xxhash64("main", "part").alias("chunk")), "chunks")
     visits = open_rows.select("key", "node", "component").join(dealt.select("key", "chunk").distinct(), "key")
     visits = stored(visits.select("chunk", "node", "component").distinct(), "visits")
@@ -197,6 +212,7 @@ def chunk_links(open_rows: DataFrame, sets: DataFrame, percent: int = PERCENT) -
     rows = rows.select(unit, "held", "node", "component", "codes").repartition("unit").sortWithinPartitions("unit", F.desc("held"), "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         unit, index, up, of, nodes, sets = None, None, {}, {}, [], []
 
         def root(component: int) -> int:
@@ -206,7 +222,7 @@ def chunk_links(open_rows: DataFrame, sets: DataFrame, percent: int = PERCENT) -
 
         for batch in batches:
             links: list[tuple[int, int]] = []
-            for own_unit, own_held, node, component, codes in zip(*(c.to_pylist() for c in batch.columns)):
+            for own_unit, own_held, node, component, codes in _rows(batch):
                 codes = np.frombuffer(codes, np.uint64)
                 if own_unit != unit:
                     unit, index, up, of, nodes, sets = own_unit, None, {}, {}, [], []

@@ -9,6 +9,8 @@ import struct
 
 import numpy as np
 
+from gaugeline.llm.caches import kept
+
 #: A piece of lower-case text as the vocabulary's own splitting rule makes it, over Latin-1.
 PIECE = re.compile(r"[a-zß-öø-ÿ]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^a-z0-9ß-öø-ÿ\s]+")
 #: Texts and chunks that NFC leaves alone and for which PIECE equals the vocabulary's rule.
@@ -99,11 +101,6 @@ class ChunkEncoder:
         return struct.pack(f"<{len(found)}I", *found)
 
 
-_encoders: dict[str | None, ChunkEncoder] = {}
-
-
 def encoder(path: str | None = None) -> ChunkEncoder:
     """The encoder of this worker process, so that its cache serves later tasks too."""
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    return kept(("pieces", path), lambda: ChunkEncoder(path))
