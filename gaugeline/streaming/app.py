@@ -15,6 +15,7 @@ from gaugeline.sources.keyed import AGGREGATES, METRICS, RECORDS, KeyedTable
 from gaugeline.sources.lake import BatchLake
 from gaugeline.streaming.transforms import (
     COPY_SLOTS,
+    by_hour,
     drop_copies,
     flagged_log,
     streaming_aggregates,
@@ -89,7 +90,7 @@ class TelemetryApp:
 
     def start_processed(self) -> StreamingQuery:
         events = drop_copies(self._events(), self.copy_slots)
-        writer = event_lake_rows(events).writeStream.format("parquet").outputMode("append")
+        writer = by_hour(event_lake_rows(events)).writeStream.format("parquet").outputMode("append")
         writer = writer.partitionBy(*schema.TIME_PARTITIONS).option("path", f"{self.root}/processed")
         return self._start("processed", writer)
 

@@ -10,6 +10,8 @@ from gaugeline.operators.windows import quality_windows, telemetry_windows
 
 COPY_SLOTS = 16
 SLOT_SEED = 11
+#: Tasks that share the rows of an hour when a batch is written to the processed lake.
+HOUR_SLOTS = 4
 
 
 def flagged_log(log: DataFrame, strict_types: bool = False) -> DataFrame:
@@ -40,6 +42,16 @@ def drop_copies(events: DataFrame, slots: int = COPY_SLOTS) -> DataFrame:
     return events.dropDuplicatesWithinWatermark(["event_id"])
 
 
+def by_hour(rows: DataFrame, slots: int = HOUR_SLOTS) -> DataFrame:
+    """Bring the rows of an hour to at most ``slots`` tasks, so that each hour gets as many files.
+
+    Rows without copies lie by event id: every task would have some of every hour,
+    and files would grow with hours times tasks.
+    """
+    slot = F.pmod(F.xxhash64("event_id"), F.lit(slots))
+    return rows.repartition(*schema.TIME_PARTITIONS, slot)
+
+
 def streaming_aggregates(events: DataFrame, slots: int = COPY_SLOTS) -> DataFrame:
     return telemetry_windows(drop_copies(events, slots))
 

@@ -217,3 +217,13 @@ def test_chained_windows_keep_no_ids(site):
     run(app, "processed")
     app.start_aggregates(chained=True).awaitTermination()
     assert sum(r.record_count for r in app.aggregates.latest().collect()) == 121
+
+
+def test_an_hour_gets_few_files(site, spark, tmp_path):
+    """The lake's files grow with its hours, not with hours times tasks."""
+    site.send(*[reading(n, minute=n % 120) for n in range(600)])
+    app = site.app()
+    run(app, "processed")
+    files = [file.parent for file in (tmp_path / "tables" / "processed").rglob("*.parquet")]
+    assert len(set(files)) == 2 and max(map(files.count, files)) <= 4
+    assert app.processed().count() == 600
