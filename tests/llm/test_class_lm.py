@@ -101,3 +101,16 @@ def test_empty_tables_and_repeated_rows(documents):  # noqa: F811
 def test_codes_are_63_bits_and_keep_the_ending():
     assert 0 <= word_code(b"reading") < 1 << 63
     assert word_code(b"reading") % 256 == word_code(b"ing") % 256
+
+
+def test_words_beyond_the_frequent_ones_have_classes_of_their_own(documents):  # noqa: F811
+    chance = np.random.default_rng(2)
+    rows = []
+    for k in range(160):  # two kinds of documents; the rare words of both end alike
+        own = [f"f{2 * x + k % 2}" for x in chance.integers(0, 512, 150)]
+        rare = [f"r{2 * x + k % 2}xyz" for x in chance.integers(0, 100, 10)]
+        rows.append((k, " ".join(word for at, word in enumerate(own) for word in ([word, rare[at // 15]] if at % 15 == 7 else [word]))))
+    model = fit_class_model(documents(rows))
+    kinds = dict(zip(model.held.tolist(), model.held_class.tolist()))
+    found = [{kinds[c] for j in range(k, 200, 2) if (c := word_code(f"r{j}xyz".encode())) in kinds} for k in (0, 1)]
+    assert found[0] and found[1] and not found[0] & found[1]
